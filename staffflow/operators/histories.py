@@ -81,7 +81,8 @@ def expand_spells(df: DataFrame) -> DataFrame:
         F.coalesce(F.max("exit_date"), F.max(F.make_date("year", "month", F.lit(1)))).alias("ended"),
     )
     months = F.expr("sequence(trunc(hired, 'MM'), trunc(ended, 'MM'), interval 1 month)")
-    dense = spells.filter(F.col("hired") <= F.col("ended")).select("employee_id", F.explode(months).alias("period"))
+    valid = F.trunc("hired", "MM") <= F.trunc("ended", "MM")
+    dense = spells.filter(valid).select("employee_id", F.explode(months).alias("period"))
     return dense.select(
         "employee_id", "period", F.year("period").alias("year"), F.month("period").alias("month")
     )

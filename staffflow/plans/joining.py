@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from staffflow.operators import joining as ops
 from staffflow.operators.filters import latest_period_snapshot
 from staffflow.operators.ranking import top_per_model
-from staffflow.operators.rules import POSITION_FACTOR, SALARY_GROUP, staff_inputs, staff_inputs_sql
+from staffflow.operators.rules import POSITION_FACTOR, SALARY_GROUP
 from staffflow.plans.registry import query
-from staffflow.sources.tables import on_panel, panel
+from staffflow.sources.tables import STAFF_SQL, on_panel, panel, staff_inputs
 
 MODELS = ["price", "lines", "disc"]
 SCORE_COLUMNS = ["employee_id", "name", "year", "month", "status", "salary", "overtime", "switching_readiness"]
@@ -87,11 +87,11 @@ def model_overlap_sets(spark, sf_dir):
         + " END AS salary_group, CAST(CASE position "
         + " ".join(f"WHEN '{k}' THEN {v}" for k, v in POSITION_FACTOR.items())
         + " ELSE 1.0 END AS DOUBLE) AS position_factor FROM staff",
-        staff_inputs_sql(),
+        STAFF_SQL,
     ),
 )
 def lookup_parameters(spark, sf_dir):
-    src = staff_inputs(panel(spark, sf_dir)).select("employee_id", "year", "month", "position")
+    src = staff_inputs(panel(spark, sf_dir, ["employee_id", "year", "month", "position"])).select("employee_id", "year", "month", "position")
     groups = ops.parameter_table(spark, SALARY_GROUP, "position", "salary_group", "string")
     factors = ops.parameter_table(spark, POSITION_FACTOR, "position", "position_factor", "double")
     out = ops.lookup_parameters(src, groups, "position", "salary_group", None)

@@ -222,3 +222,42 @@ def on_panel(sql: str, *more: str) -> str:
 
 def on_scores(sql: str, *more: str) -> str:
     return "WITH " + ",\n".join([SCORES_SQL, *more]) + "\n" + sql
+
+
+# Staff view: the panel with position titles and the inputs of the rule scores that the tables
+# lack, all small expressions of the keys; one factor is null at times.
+TITLES = {
+    "AUTOMOBILE": "Office Clerk",
+    "BUILDING": "Specialist",
+    "FURNITURE": "Office Manager",
+    "HOUSEHOLD": "Department Head",
+}
+_DERIVED = {
+    "workplace_flexibility": "employee_id % 11",
+    "benefits": "(employee_id + month) % 11",
+    "team_size": "5 + employee_id % 21",
+    "number_of_subordinates": "employee_id % 8",
+    "performance": "1 + (employee_id + year) % 5",
+    "job_role_progression": "employee_id % 11",
+    "stress": "CASE WHEN month % 4 <> 0 THEN 1 + (employee_id + month) % 10 END",
+    "recognition": "1 + (employee_id * 3 + month) % 10",
+    "work_environment": "1 + (employee_id * 7 + month) % 10",
+    "future_opportunities": "1 + (employee_id * 9 + month) % 10",
+    "team_conflicts": "1 + (employee_id * 11 + month) % 10",
+    "boredom": "1 + (employee_id * 13 + month) % 10",
+}
+
+
+def staff_inputs(df: DataFrame) -> DataFrame:
+    title = F.create_map(*[F.lit(x) for pair in TITLES.items() for x in pair])
+    out = df.withColumn("position", F.coalesce(F.try_element_at(title, F.col("position")), F.lit("Unlisted")))
+    return out.withColumns({name: F.expr(text).cast("int") for name, text in _DERIVED.items()})
+
+
+STAFF_SQL = (
+    "staff AS (SELECT * REPLACE (CASE position "
+    + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TITLES.items())
+    + " ELSE 'Unlisted' END AS position), "
+    + ", ".join(f"CAST({text} AS INTEGER) AS {name}" for name, text in _DERIVED.items())
+    + " FROM panel)"
+)
