@@ -29,17 +29,15 @@ def kmeans_segments(df: DataFrame, features: list[str], k: int = 3, seed: int =
     return out, [centres[i] for i in order]
 
 
-def group_centres(df: DataFrame, features: list[str], group: str, labels: list[str]) -> dict[str, list[Column]]:
-    """Mean of the features per group as scalar subquery fields: small, lazy, usable in any expression."""
+def group_centres(df: DataFrame, features: list[str], group: str, labels: list[str]) -> dict[str, list[float]]:
+    """Mean of the features per listed group: one aggregate, one number per group and feature."""
     row = df.agg(
-        F.struct(
-            *[F.avg(F.when(F.col(group) == g, F.col(c))).alias(f"{g}_{c}") for g in labels for c in features]
-        ).alias("c")
-    ).scalar()
-    return {g: [row.getField(f"{g}_{c}") for c in features] for g in labels}
+        *[F.avg(F.when(F.col(group) == g, F.col(c))).alias(f"{g}_{c}") for g in labels for c in features]
+    ).first()
+    return {g: [row[f"{g}_{c}"] for c in features] for g in labels}
 
 
-def assign_to_centroids(df: DataFrame, features: list[str], centres: dict[str, list[Column]]) -> DataFrame:
+def assign_to_centroids(df: DataFrame, features: list[str], centres: dict[str, list[float]]) -> DataFrame:
     """Add ``cluster``: the label of the nearest centre, the first label winning ties; and its squared distance."""
     gaps = {
         label: _total([(F.col(c) - m) * (F.col(c) - m) for c, m in zip(features, centre)])
@@ -70,28 +68,26 @@ def silhouette_rows(df: DataFrame, features: list[str], labels: list, cluster: s
     norm = _total([F.col(c) * F.col(c) for c in features])
     parts = []
     for i, g in enumerate(labels):
-        mine = F.col(cluster) == F.lit(g)
-        parts.append(F.count(F.when(mine, 1)).cast("double").alias(f"n{i}"))
-        parts.append(F.sum(F.when(mine, norm)).alias(f"q{i}"))
-        parts += [F.sum(F.when(mine, F.col(c))).alias(f"s{i}_{c}") for c in features]
-    sums = df.agg(F.struct(*parts).alias("s")).scalar()
+        member = F.col(cluster) == F.lit(g)
+        parts.append(F.count(F.when(member, 1)).cast("double").alias(f"n{i}"))
+        parts.append(F.sum(F.when(member, norm)).alias(f"q{i}"))
+        parts += [F.sum(F.when(member, F.col(c))).alias(f"s{i}_{c}") for c in features]
+    sums = df.agg(*parts).first()  # a few numbers per cluster
     out = df.withColumn("_norm", norm)
-    total = {}
-    for i, _ in enumerate(labels):
-        dot = _total([F.col(c) * sums.getField(f"s{i}_{c}") for c in features])
-        total[i] = F.col("_norm") * sums.getField(f"n{i}") + sums.getField(f"q{i}") - 2 * dot
-    own = reduce(
-        lambda chain, i: chain.when(F.col(cluster) == F.lit(labels[i]), total[i] / F.nullif(sums.getField(f"n{i}") - 1, F.lit(0.0))),
-        range(1, len(labels)),
-        F.when(F.col(cluster) == F.lit(labels[0]), total[0] / F.nullif(sums.getField("n0") - 1, F.lit(0.0))),
-    )
-    # the nearest other cluster; empty clusters drop out as nulls
-    other = F.least(
-        *[
-            F.when(F.col(cluster) != F.lit(g), total[i] / F.nullif(sums.getField(f"n{i}"), F.lit(0.0)))
-            for i, g in enumerate(labels)
-        ]
+    present = [i for i in range(len(labels)) if sums[f"n{i}"] > 0]
+    total = {
+        i: F.col("_norm") * sums[f"n{i}"]
+        + sums[f"q{i}"]
+        - 2 * _total([F.col(c) * sums[f"s{i}_{c}"] for c in features])
+        for i in present
+    }
+    mine = {i: F.col(cluster) == F.lit(labels[i]) for i in present}
+    own = F.coalesce(
+        F.lit(None).cast("double"), *[F.when(mine[i], total[i] / (sums[f"n{i}"] - 1)) for i in present if sums[f"n{i}"] > 1]
     )
+    # the nearest other cluster
+    none = F.lit(None).cast("double")
+    other = F.least(none, none, *[F.when(~mine[i], total[i] / sums[f"n{i}"]) for i in present])
     out = out.withColumn("_a", own).withColumn("_b", other)
     top = F.greatest("_a", "_b")
     value = F.when(F.col("_a").isNull() | F.col("_b").isNull() | (top == 0), F.lit(0.0)).otherwise((F.col("_b") - F.col("_a")) / top)

@@ -186,9 +186,9 @@ def describe_numeric(df: DataFrame, columns: list[str], by: list[str] | None = N
 
 def extreme_groups(df: DataFrame, column: str, columns: list[str], low: float = 0.05, high: float = 0.95) -> DataFrame:
     """Describe the rows strictly above the high and strictly below the low percentile."""
-    cuts = quantiles(df.select(column), [], column, {"low": low, "high": high})
+    cuts = quantiles(df.select(column), [], column, {"low": low, "high": high}).first()  # two numbers
     value = F.col(column)
-    grp = F.when(value > cuts.select("high").scalar(), "high").when(value < cuts.select("low").scalar(), "low")
+    grp = F.when(value > F.lit(cuts["high"]), "high").when(value < F.lit(cuts["low"]), "low")
     return describe_numeric(df.withColumn("grp", grp).filter(F.col("grp").isNotNull()), columns, ["grp"])
 
 

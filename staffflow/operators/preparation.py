@@ -16,20 +16,18 @@ MISSING = "nan"  # a missing category is a category of its own
 def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
     """(x - mean) / population std per column as ``z_*``; a constant column divides by one.
 
-    The statistics are one aggregate read back as scalar subqueries.
+    Fitting is one aggregate that returns two numbers per column.
     """
-    stats = df.agg(
-        F.struct(
-            *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in columns],
-            *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in columns],
-        ).alias("s")
+    fitted = df.agg(
+        *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in columns],
+        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in columns],
+    ).first()
+    return df.withColumns(
+        {
+            f"z_{c}": (F.col(c).cast("double") - F.lit(fitted[f"m_{c}"])) / F.lit(fitted[f"s_{c}"] or 1.0)
+            for c in columns
+        }
     )
-    row = stats.scalar()
-    scaled = {}
-    for c in columns:
-        std = row.getField(f"s_{c}")
-        scaled[f"z_{c}"] = (F.col(c).cast("double") - row.getField(f"m_{c}")) / F.when(std == 0, 1.0).otherwise(std)
-    return df.withColumns(scaled)
 
 
 def _texts(df: DataFrame, columns: list[str]) -> DataFrame:
