@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import importlib
-import importlib.util
 
 from staffflow.plans.registry import REGISTRY, Query
 
@@ -15,6 +14,5 @@ FAMILIES = [
 
 def load_all() -> dict[str, Query]:
     for family in FAMILIES:
-        if importlib.util.find_spec(f"staffflow.plans.{family}") is None: continue
         importlib.import_module(f"staffflow.plans.{family}")
     return REGISTRY
