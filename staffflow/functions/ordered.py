@@ -18,33 +18,33 @@ BUCKETS = 256
 def value_buckets(df: DataFrame, value: str, cells: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Add ``_bucket`` to ``cells``: sketch edges of ``df[value]``, at most ``buckets`` doubles on the driver."""
     probs = [i / buckets for i in range(1, buckets)]
-    edges = sorted(set(df.select(F.col(value).cast("double").alias(value)).approxQuantile(value, probs, 0.002)))
+    edges = sorted(set(df.select(value).approxQuantile(value, probs, 0.002)))
     if not edges:
-        return cells.withColumn("_bucket", F.lit(0.0))
+        return cells.withColumn("_bucket", F.lit(0))
     splits = [float("-inf"), *edges, float("inf")]
-    return Bucketizer(splits=splits, inputCol=value, outputCol="_bucket").transform(cells)
+    marked = Bucketizer(splits=splits, inputCol=value, outputCol="_bucket").transform(cells)
+    return marked.withColumn("_bucket", F.col("_bucket").cast("int"))
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on group keys, null groups matching null; ``right`` holds one row per group."""
+    """Attach one row per group; rows without a group are left out, as grouping leaves them out."""
     if not keys:
-        return left.crossJoin(F.broadcast(right))  # right is one row of totals
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return left.join(renamed, cond).drop(*[f"_r_{k}" for k in keys])
+        return left.crossJoin(F.broadcast(right))  # a single row of totals
+    return left.join(right, keys)
 
 
 def cumulative(
     df: DataFrame, by: list[str], value: str, sums: dict[str, Column], buckets: int = BUCKETS
 ) -> DataFrame:
     """One row per (by, value): each sum, its inclusive running total ``cum_*`` in
-    ascending value order and its group total ``all_*``."""
-    clean = df.filter(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double"))
+    ascending value order and its group total ``all_*``.
+
+    The offsets join on (by, bucket) and the window runs on the same partitioning.
+    """
+    clean = df.withColumn(value, F.col(value).cast("double")).filter(F.col(value).isNotNull())
     cells = clean.groupBy(*by, value).agg(*[expr.alias(name) for name, expr in sums.items()])
     cells = value_buckets(clean, value, cells, buckets)
-    inside = Window.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    running = cells.select("*", *[F.sum(n).over(inside).alias(f"_run_{n}") for n in sums])
-    # at most ``buckets`` rows per group from here on
+    # at most ``buckets`` rows per group
     per_bucket = cells.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(n) for n in sums])
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     group = Window.partitionBy(*by)
@@ -54,12 +54,12 @@ def cumulative(
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_off_{n}") for n in sums],
         *[F.sum(n).over(group).alias(f"all_{n}") for n in sums],
     )
-    joined = join_groups(running, offsets, [*by, "_bucket"])
-    return joined.select(
+    inside = Window.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return cells.join(offsets, [*by, "_bucket"]).select(
         *by,
         value,
         *sums,
-        *[(F.col(f"_run_{n}") + F.col(f"_off_{n}")).alias(f"cum_{n}") for n in sums],
+        *[(F.sum(n).over(inside) + F.col(f"_off_{n}")).alias(f"cum_{n}") for n in sums],
         *[f"all_{n}" for n in sums],
     )
 
@@ -84,23 +84,29 @@ def quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float])
     return got.select(*by, *out)
 
 
-def hash_rank(df: DataFrame, by: list[str], keys: list[str], name: str, digits: int = 4) -> DataFrame:
-    """Dense 1-based rank of each row within its group in md5 order of its keys.
+def hash_rank(
+    df: DataFrame, by: list[str], keys: list[str], name: str, size: str = "_size", digits: int = 4
+) -> DataFrame:
+    """Add the dense 1-based rank of each row within its group in md5 order of its keys, and the group's size.
 
     The first hex digits spread a group of any size evenly over 16**digits buckets.
     """
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     hashed = df.withColumn("_h", F.md5(text)).withColumn("_bucket", F.substring("_h", 1, digits))
-    inside = Window.partitionBy(*by, "_bucket").orderBy("_h", *keys)
-    ranked = hashed.withColumn("_rn", F.row_number().over(inside))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         hashed.groupBy(*by, "_bucket")
         .agg(F.count(F.lit(1)).alias("_c"))
-        .select(*by, "_bucket", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+        .select(
+            *by,
+            "_bucket",
+            F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+            F.sum("_c").over(Window.partitionBy(*by)).alias(size),
+        )
     )
-    out = join_groups(ranked, offsets, [*by, "_bucket"])
-    return out.withColumn(name, F.col("_rn") + F.col("_off")).drop("_h", "_bucket", "_rn", "_off")
+    inside = Window.partitionBy(*by, "_bucket").orderBy("_h", *keys)
+    out = hashed.join(offsets, [*by, "_bucket"]).withColumn(name, F.row_number().over(inside) + F.col("_off"))
+    return out.select(*df.columns, name, size)
 
 
 def previous_row(df: DataFrame, key: str, chunk: str, order: list[str], columns: list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from staffflow.schema import FEATURES, ILLNESS, NULL_TEXTS, require_columns, tex
 
 def strip(col: Column) -> Column:
     """Trim every kind of white space, as text clean-up expects, not blanks only."""
-    return F.regexp_replace(F.regexp_replace(col, r"^\s+", ""), r"\s+$", "")
+    return F.trim(col, F.lit(" \t\n\r\f\v"))
 
 
 def derive_year(df: DataFrame, source: str = "hiring_date") -> DataFrame:

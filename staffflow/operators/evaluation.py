@@ -22,42 +22,50 @@ def _ratio(top: Column, bottom: Column, empty: float) -> Column:
     return F.when(bottom == 0, F.lit(empty)).otherwise(top.cast("double") / bottom)
 
 
-def confusion_matrix(
-    scored: DataFrame, by: list[str], threshold: float = 0.5, inclusive: bool = True
-) -> DataFrame:
-    """TP, TN, FP, FN per group; a score on the threshold counts as positive when ``inclusive``."""
+def _cells(threshold: float, inclusive: bool) -> list[Column]:
     cut = F.lit(float(threshold))
     guess = (F.col("score") >= cut) if inclusive else (F.col("score") > cut)
     label = F.col("y") == 1
     cells = {"tp": label & guess, "tn": ~label & ~guess, "fp": ~label & guess, "fn": label & ~guess}
-    return scored.groupBy(*by).agg(*[F.count(F.when(c, 1)).alias(n) for n, c in cells.items()])
+    return [F.count(F.when(c, 1)).alias(n) for n, c in cells.items()]
 
 
-def classification_metrics(
-    scored: DataFrame, by: list[str], threshold: float = 0.5, inclusive: bool = True, empty: float = 0.0
+def confusion_matrix(
+    scored: DataFrame, by: list[str], threshold: float = 0.5, inclusive: bool = True
 ) -> DataFrame:
-    """Accuracy, precision, recall, F1 and MCC; ``empty`` stands where a denominator is zero."""
-    m = confusion_matrix(scored, by, threshold, inclusive)
+    """TP, TN, FP, FN per group; a score on the threshold counts as positive when ``inclusive``."""
+    return scored.groupBy(*by).agg(*_cells(threshold, inclusive))
+
+
+def _rates(empty: float) -> list[Column]:
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
     d = [c.cast("double") for c in (tp + fp, tp + fn, tn + fp, tn + fn)]
     spread = F.sqrt(d[0]) * F.sqrt(d[1]) * F.sqrt(d[2]) * F.sqrt(d[3])
     agreement = tp.cast("double") * tn - fp.cast("double") * fn
-    return m.select(
-        *by,
-        "tp", "tn", "fp", "fn",
+    return [
         _ratio(tp + tn, tp + tn + fp + fn, 0.0).alias("accuracy"),
         _ratio(tp, tp + fp, empty).alias("precision"),
         _ratio(tp, tp + fn, empty).alias("recall"),
         _ratio(2 * tp, 2 * tp + fp + fn, empty).alias("f1"),
         _ratio(agreement, spread, 0.0).alias("mcc"),
-    )
+    ]
+
+
+def classification_metrics(
+    scored: DataFrame, by: list[str], threshold: float = 0.5, inclusive: bool = True, empty: float = 0.0
+) -> DataFrame:
+    """Accuracy, precision, recall, F1 and MCC; ``empty`` stands where a denominator is zero."""
+    return confusion_matrix(scored, by, threshold, inclusive).select("*", *_rates(empty))
+
+
+def _loss() -> Column:
+    p = F.least(F.greatest(F.col("score"), F.lit(EPS)), F.lit(1 - EPS))
+    return F.avg(F.when(F.col("y") == 1, -F.log(p)).otherwise(-F.log(1 - p))).alias("log_loss")
 
 
 def log_loss(scored: DataFrame, by: list[str]) -> DataFrame:
     """Mean negative log likelihood with scores clipped by the machine epsilon."""
-    p = F.least(F.greatest(F.col("score"), F.lit(EPS)), F.lit(1 - EPS))
-    loss = F.when(F.col("y") == 1, -F.log(p)).otherwise(-F.log(1 - p))
-    return scored.groupBy(*by).agg(F.avg(loss).alias("log_loss"))
+    return scored.groupBy(*by).agg(_loss())
 
 
 def _by_score(scored: DataFrame, by: list[str]) -> DataFrame:
@@ -151,9 +159,9 @@ def train_test_accuracy(scored: DataFrame, threshold: float = 0.5, inclusive: bo
 
 
 def evaluation_table(scored: DataFrame, by: list[str], threshold: float = 0.5, inclusive: bool = True) -> DataFrame:
-    """All metrics of every model: one row per group."""
-    out = classification_metrics(scored, by, threshold, inclusive)
-    return out.join(roc_auc(scored, by), by).join(log_loss(scored, by), by)
+    """All metrics of every model: one row per group, from one plain pass and one ordered one."""
+    plain = scored.groupBy(*by).agg(*_cells(threshold, inclusive), _loss())
+    return plain.select("*", *_rates(0.0)).join(roc_auc(scored, by), by)
 
 
 def leaderboard(metrics: DataFrame, sort_by: str) -> DataFrame:

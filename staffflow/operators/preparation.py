@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staffflow.functions.ordered import hash_rank, join_groups
+from staffflow.functions.ordered import hash_rank
 
 MISSING = "nan"  # a missing category is a category of its own
 
@@ -100,10 +100,8 @@ def hash_fold(df: DataFrame, keys: list[str], train: float = 0.8) -> DataFrame:
 def stratified_split(df: DataFrame, label: str, keys: list[str], train: float = 0.8) -> DataFrame:
     """Add ``fold`` with the exact share of every class: the first rows of each class in hash order train."""
     ranked = hash_rank(df, [label], keys, "_rank")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
-    out = join_groups(ranked, sizes, [label])
     last = F.floor(F.col("_size") * F.lit(train))
-    return out.withColumn("fold", F.when(F.col("_rank") <= last, "train").otherwise("test")).drop("_rank", "_size")
+    return ranked.withColumn("fold", F.when(F.col("_rank") <= last, "train").otherwise("test")).drop("_rank", "_size")
 
 
 def align_features(df: DataFrame, saved: list[str], keys: list[str], strict: bool = False) -> DataFrame:

@@ -10,6 +10,7 @@ from staffflow.operators.oversampling import smote_balance
 from staffflow.operators.rules import exit_risk_components
 from staffflow.plans.registry import query
 from staffflow.plans.rules import RISK_COLUMNS, RISK_SQL, staff
+from staffflow.session import cut_lineage
 from staffflow.sources.tables import STAFF_SQL, on_panel, panel
 
 KEY = ["employee_id", "year", "month"]
@@ -49,10 +50,10 @@ def training_inputs(rows):
 
 def features(spark, sf_dir):
     """Labelled rows with the fitted feature vector as an array."""
-    inputs = training_inputs(labelled(spark, sf_dir))
+    inputs = cut_lineage(training_inputs(labelled(spark, sf_dir)))
     model = ops.feature_pipeline(MODEL_INPUTS, MODEL_CATEGORICAL).fit(inputs)
     out = model.transform(inputs)
-    return out.select(*KEY, "turnover", vector_to_array("features").alias("vector"))
+    return cut_lineage(out.select(*KEY, "turnover", vector_to_array("features").alias("vector")))
 
 
 def smote_rows(spark, sf_dir):
