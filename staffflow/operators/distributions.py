@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staffflow.functions.ordered import join_groups, quantiles
@@ -38,7 +38,7 @@ def per_column(df: DataFrame, columns: list[str], by: list[str], stats: dict[str
 
 
 def skew_kurtosis(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Bias-corrected skewness and excess kurtosis; null below 3 and 4 values."""
+    """Bias-corrected skewness and excess kurtosis; null below 3 and 4 values, 0 for a constant column."""
     columns = columns or numeric_columns(df)
     got = per_column(
         df,
@@ -51,8 +51,9 @@ def skew_kurtosis(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         },
     )
     n = F.col("n").cast("double")
-    skew = F.when(n > 2, F.sqrt(n * (n - 1)) / (n - 2) * F.col("g1"))
-    kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6))
+    flat = F.col("g2").isNull()
+    skew = F.when(n > 2, F.when(flat, 0.0).otherwise(F.sqrt(n * (n - 1)) / (n - 2) * F.col("g1")))
+    kurt = F.when(n > 3, F.when(flat, 0.0).otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)))
     return got.select("variable", skew.alias("skewness"), kurt.alias("kurtosis"))
 
 
@@ -110,6 +111,7 @@ def kde_grid(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) ->
     shape = clean.agg(
         F.count("v").alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi")
     ).select(n.alias("n"), (F.col("sd") * F.pow(n, F.lit(-0.2))).alias("bw"), "lo", "hi")
+    shape = shape.filter(F.col("bw") > 0)  # a constant column has no density
     weights = clean.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("w"))
     cells = weights.crossJoin(F.broadcast(shape))  # one row
     start = F.col("lo") - cut * F.col("bw")
@@ -129,11 +131,16 @@ def correlation_long(df: DataFrame, columns: list[str] | None = None) -> DataFra
     if len(columns) < 2:
         raise ValueError("the table has no pair of numeric columns to correlate")
     pairs = list(combinations(columns, 2))
+
+    def correlation(a: str, b: str) -> Column:
+        # corr() itself fails on a constant column under ANSI arithmetic; here it gives null
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        square, direction = F.regr_r2(y, x), F.signum(F.covar_pop(x, y))
+        return F.when(~((square == 1) & (direction == 0)), direction * F.sqrt(square))
+
     wide = df.agg(
         *[
-            F.struct(
-                F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r")
-            ).alias(f"_{i}")
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(a, b).alias("r")).alias(f"_{i}")
             for i, (a, b) in enumerate(pairs)
         ]
     )

@@ -11,6 +11,12 @@ from staffflow.operators.clean import strip
 from staffflow.schema import HEADER_TO_NAME, NAME_TO_HEADER, NULL_TEXTS, PANEL
 
 CORRUPT = "_corrupt_record"
+# whole lines are parsed whatever columns are asked for, so the same lines count as broken
+CSV_OPTIONS = {
+    "header": "true",
+    "mode": "DROPMALFORMED",
+    "columnPruning": "false",
+}
 SCORE_COLUMNS = ["name", "employee_id", "churn_probability"]
 
 
@@ -30,8 +36,8 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 
 
 def text_schema(header: list[str]) -> T.StructType:
-    """Every column as text plus a column for lines that do not parse."""
-    return T.StructType([T.StructField(h, T.StringType()) for h in [*header, CORRUPT]])
+    """Every column as text, under the delivered headers."""
+    return T.StructType([T.StructField(h, T.StringType()) for h in header])
 
 
 def typed_panel(texts: DataFrame) -> DataFrame:
@@ -42,8 +48,6 @@ def typed_panel(texts: DataFrame) -> DataFrame:
     """
     out = []
     for header in texts.columns:
-        if header == CORRUPT:
-            continue
         name = HEADER_TO_NAME.get(header, header)
         text = strip(F.col(f"`{header}`"))
         value = F.when(~text.isin(NULL_TEXTS), text)
@@ -55,18 +59,19 @@ def typed_panel(texts: DataFrame) -> DataFrame:
 
 
 def scan_panel_csv(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
-    """Delivered CSV files as a typed table; lines that do not parse are dropped or kept as text."""
-    schema = text_schema(header_of(spark, path))
-    texts = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
-    if keep_corrupt:
-        return texts.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-    return typed_panel(texts.filter(F.col(CORRUPT).isNull()))
+    """Delivered CSV files as a typed table without the lines that do not parse.
+
+    With ``keep_corrupt`` the result is those lines instead, all columns as text.
+    """
+    header = header_of(spark, path)
+    if not keep_corrupt:
+        return typed_panel(spark.read.schema(text_schema(header)).options(**CSV_OPTIONS).csv(path))
+    marked = text_schema(header).add(CORRUPT, T.StringType())
+    options = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.schema(marked).options(**options).csv(path)
+    # a count would read the marker column alone, which the reader refuses: tie it to another
+    tied = F.length(F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))) >= 0
+    return lines.filter(F.col(CORRUPT).isNotNull() & tied)
 
 
 def write_panel(df: DataFrame, path: str, fmt: str = "parquet") -> None:
