@@ -200,10 +200,7 @@ def extreme_groups(df: DataFrame, column: str, columns: list[str], low: float =
 
 
 def scatter_pairs(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """Points of every pair of columns with how often each occurs; nothing is sampled away.
-
-    Equal points collapse map-side, so a hot point is one row.
-    """
+    """All points of every pair of columns: a projection without a shuffle, nothing sampled away."""
     by = by or []
     pairs = [
         F.struct(
@@ -212,8 +209,7 @@ def scatter_pairs(df: DataFrame, columns: list[str], by: list[str] | None = None
         )
         for a, b in combinations(columns, 2)
     ]
-    points = df.select(*by, F.explode(F.array(*pairs)).alias("p")).select(*by, "p.*")
-    return points.groupBy(*by, "column_x", "column_y", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    return df.select(*by, F.explode(F.array(*pairs)).alias("p")).select(*by, "p.*")
 
 
 def rounded(df: DataFrame, digits: int, columns: list[str]) -> DataFrame:

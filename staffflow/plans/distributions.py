@@ -134,8 +134,8 @@ SCATTERED = ["age", "overtime", "salary", "satisfaction"]
 @query(
     "scatter_pairs",
     on_panel(" UNION ALL ".join(
-        f"""SELECT status, '{a}' AS column_x, '{b}' AS column_y, CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y,
-          count(*) AS n FROM panel GROUP BY ALL""" for a, b in combinations(SCATTERED, 2)
+        f"""SELECT status, '{a}' AS column_x, '{b}' AS column_y, CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y
+          FROM panel""" for a, b in combinations(SCATTERED, 2)
     )),
 )
 def scatter_pairs(spark, sf_dir):

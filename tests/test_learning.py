@@ -12,13 +12,16 @@ from staffflow.plans.preparation import KEY
 REGISTRY = load_all()
 
 
-@pytest.mark.parametrize("cell_rows", [1000, 40])
-def test_neighbours_equal_brute_force(spark, cell_rows):
+@pytest.mark.parametrize("cell_rows, block_rows", [(1000, None), (40, None), (100, 15)])
+def test_neighbours_equal_brute_force(spark, monkeypatch, cell_rows, block_rows):
+    from staffflow.functions import neighbours
+
+    monkeypatch.setattr(neighbours, "VISITORS", 50)
     rng = np.random.default_rng(5)
     x = np.concatenate([rng.normal(0, 0.05, (250, 4)), rng.normal(0, 3, (150, 4)), [[100.0] * 4]])
     df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "key long, vector array<double>, copies long")
     got = {}
-    for r in nearest_neighbours(df, 5, cell_rows).collect():
+    for r in nearest_neighbours(df, 5, cell_rows, block_rows).collect():
         got.setdefault(r["key"], {})[r["rank"]] = r["distance"]
     gap = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
     np.fill_diagonal(gap, np.inf)
