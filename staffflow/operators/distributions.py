@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staffflow.functions.ordered import join_groups, quantiles
@@ -28,13 +28,10 @@ def per_column(df: DataFrame, columns: list[str], by: list[str], stats: dict[str
     is multiplied by the number of columns.
     """
     wide = df.groupBy(*by).agg(
-        *[
-            F.struct(F.lit(c).alias("variable"), *[fn(F.col(c)).alias(n) for n, fn in stats.items()]).alias(f"_{i}")
-            for i, c in enumerate(columns)
-        ]
+        *[fn(F.col(c)).alias(f"_{n}_{i}") for i, c in enumerate(columns) for n, fn in stats.items()]
     )
-    cells = F.explode(F.array(*[F.col(f"_{i}") for i in range(len(columns))]))
-    return wide.select(*by, cells.alias("_c")).select(*by, "_c.*")
+    cells = [x for i, c in enumerate(columns) for x in (F.lit(c), *[F.col(f"_{n}_{i}") for n in stats])]
+    return wide.select(*by, F.stack(F.lit(len(columns)), *cells).alias("variable", *stats))
 
 
 def skew_kurtosis(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -132,19 +129,15 @@ def correlation_long(df: DataFrame, columns: list[str] | None = None) -> DataFra
         raise ValueError("the table has no pair of numeric columns to correlate")
     pairs = list(combinations(columns, 2))
 
-    def correlation(a: str, b: str) -> Column:
-        # corr() itself fails on a constant column under ANSI arithmetic; here it gives null
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        square, direction = F.regr_r2(y, x), F.signum(F.covar_pop(x, y))
-        return F.when(~((square == 1) & (direction == 0)), direction * F.sqrt(square))
-
+    # corr() fails on a constant column under ANSI arithmetic; its square and its sign do not
     wide = df.agg(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(a, b).alias("r")).alias(f"_{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
+        *[F.regr_r2(F.col(b).cast("double"), F.col(a).cast("double")).alias(f"_s{i}") for i, (a, b) in enumerate(pairs)],
+        *[F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)],
     )
-    half = wide.select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(pairs))])).alias("c")).select("c.*")
+    cells = [x for i, (a, b) in enumerate(pairs) for x in (F.lit(a), F.lit(b), F.col(f"_s{i}"), F.col(f"_c{i}"))]
+    long = wide.select(F.stack(F.lit(len(pairs)), *cells).alias("a", "b", "square", "cov"))
+    constant = (F.col("square") == 1) & (F.col("cov") == 0)
+    half = long.select("a", "b", F.when(~constant, F.signum("cov") * F.sqrt("square")).alias("r"))
     both = F.explode(
         F.array(
             F.struct(F.col("a").alias("column_a"), F.col("b").alias("column_b"), "r"),
