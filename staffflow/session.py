@@ -18,8 +18,6 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    # generated methods above 8000 bytes are never compiled by the JVM; split ones are
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
