@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from staffflow.llm.common import read
+from staffflow.llm.mixing import MIX_SQL, mix, quality_weight
 from staffflow.llm.near_duplicates import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +28,9 @@ def query(name: str, sql: str | None = None):
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op9_source_mixing", MIX_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix(quality_weight(docs, read(spark, sf_dir, "labels")))
