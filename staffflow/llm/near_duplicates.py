@@ -217,17 +217,29 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return sized.filter(100 * F.col("shared") >= PERCENT * (F.col("total") - F.col("shared"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, all of their columns.
+
+    Rows are joined on a number given before the search, so the input is written once with it.
+    """
+    number = "near_duplicates_row"
+    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()))
+    gone = near_duplicates(numbered, number).filter("not kept").select(F.col("row_id").alias(number))
+    return numbered.join(gone, number, "left_anti").drop(number)
+
+
+def near_duplicates(docs: DataFrame, number: str | None = None) -> DataFrame:
     """Groups of near-duplicate documents.
 
     Input: columns ``doc_id`` and ``text``; others are ignored. Output, one row per input row:
-    ``row_id`` (place in this run), ``doc_id``, ``n_shingles``, ``component_id`` (smallest doc_id
+    ``row_id`` (the column ``number``, else its place in this run), ``doc_id``, ``n_shingles``, ``component_id`` (smallest doc_id
     reachable over links, itself included), ``kept``. Texts that are null, empty or blank have an
     empty set and no links. A null doc_id links like any other but never names a component while
     another id is there. Of rows that repeat one doc_id inside a component only the first is
     kept, so exactly one row of each component is.
     """
-    source = docs.select("doc_id", "text").withColumn("row_id", F.monotonically_increasing_id())
+    row_id = F.col(number) if number else F.monotonically_increasing_id()
+    source = docs.select("doc_id", "text", row_id.alias("row_id"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = stored(
         map_batches(

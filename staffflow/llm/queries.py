@@ -6,9 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from staffflow.llm.chunks import vocabulary
 from staffflow.llm.common import read
+from staffflow.llm.decontamination import contaminated
 from staffflow.llm.mixing import MIX_SQL, mix, quality_weight
 from staffflow.llm.near_duplicates import near_duplicates
+from staffflow.llm.token_counts import token_counts
+from staffflow.llm.token_ids import digest, token_files
+from staffflow.llm.toxicity import toxicity
+from staffflow.llm.urls import URL_SQL, filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,3 +40,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(quality_weight(docs, read(spark, sf_dir, "labels")))
+
+
+@query("op7_token_id_files")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(token_files(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
+
+
+@query("op5_toxicity_scores")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op10_benchmark_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op6_url_filter", URL_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(read(spark, sf_dir, "pages"))
