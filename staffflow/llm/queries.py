@@ -11,6 +11,8 @@ from staffflow.llm.common import read
 from staffflow.llm.decontamination import contaminated
 from staffflow.llm.mixing import MIX_SQL, mix, quality_weight
 from staffflow.llm.near_duplicates import near_duplicates
+from staffflow.llm.quality import QUALITY_SQL, judge
+from staffflow.llm.secrets import find_secrets
 from staffflow.llm.token_counts import token_counts
 from staffflow.llm.token_ids import digest, token_files
 from staffflow.llm.toxicity import toxicity
@@ -65,3 +67,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_url_filter", URL_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages"))
+
+
+@query("op3_adaptive_quality_rules", QUALITY_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read(spark, sf_dir, "documents"))
+
+
+@query("op8_linked_secrets")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(read(spark, sf_dir, "documents"))
