@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from staffflow.llm.chunks import vocabulary
 from staffflow.llm.common import read
 from staffflow.llm.decontamination import contaminated
+from staffflow.llm.language_model import language_model_scores
 from staffflow.llm.mixing import MIX_SQL, mix, quality_weight
 from staffflow.llm.near_duplicates import near_duplicates
 from staffflow.llm.quality import QUALITY_SQL, judge
@@ -77,3 +78,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_linked_secrets")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read(spark, sf_dir, "documents"))
+
+
+@query("op1_language_model_scores")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(read(spark, sf_dir, "documents"))
