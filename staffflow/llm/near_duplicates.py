@@ -8,9 +8,9 @@ all of them with probability (1 - 0.75^4)^32 < 6e-6.
 
 A bucket proposes a star, its smallest member with every other one, not all pairs. A proposal is
 confirmed on the full shingle sets. A star only proves links through its hub, so buckets whose
-members are still in several components get more hubs, round after round, until each pair of
-members is in one component or has been compared: no link is lost to the stars, and the pairs
-already joined through others are never made.
+members are still in several components are compared once more inside tasks, block against
+block, and only a spanning forest of the links found there is emitted: no link is lost to the
+stars, and no pair of members becomes a row.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staffflow.llm.common import bytes_of, map_batches, stored
@@ -32,8 +32,8 @@ ROWS = BINS // BANDS
 PERCENT = 75
 #: Of BINS, how many must agree before sets are fetched: 0.75 less five standard deviations.
 AGREE = 71
-#: Hubs of a bucket that meet its later members in the first round and in each further one.
-FIRST_HUBS, MORE_HUBS = 1, 8
+#: Members, and shingles, of a block of a bucket that is compared inside one task.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 4_096, 300_000
 FILTER_BITS = 1 << 26
 
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -275,12 +275,14 @@ def _linked(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     marks = classes.select("class", "n", "marks")
     stars = buckets.filter(F.col("class") != F.col("hub")).select(F.col("hub").alias("a"), F.col("class").alias("b"))
     tested = stored(_promising(stars.distinct(), marks))
-    if tested.isEmpty():
-        return None
     ends = tested.select(F.col("a").alias("class")).union(tested.select(F.col("b").alias("class"))).distinct()
     sets = stored(_sets_of(docs, ends))
     links = stored(_confirmed(tested, sets))
-    return _residual(docs, buckets, marks, tested, sets, links)
+    found = components(links)
+    more = stored(_residual(docs, buckets, classes, sets, found))
+    if more.isEmpty():
+        return found
+    return components(links.unionByName(more))
 
 
 def _promising(pairs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -291,33 +293,128 @@ def _promising(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     return map_batches(near.select("a", "b", "marks_a", "marks_b"), _agreement, "a binary, b binary")
 
 
-def _residual(docs, buckets, marks, tested, sets, links) -> DataFrame:
-    """More hubs for buckets that still hold several components, until every pair is settled.
+def _residual(docs: DataFrame, buckets: DataFrame, classes: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+    """Links (a, b) that the stars could not show, between members of one bucket in several components.
 
-    Returns (class, component).
+    Such buckets are compared inside tasks, in pairs of blocks of bounded size: first signatures,
+    then the full sets of the members whose signatures allow a link. Only links leave a task, and
+    of those a spanning forest, so rows stay in proportion to the members, not to their pairs.
     """
-    placed = Window.partitionBy("band").orderBy("class")
-    done, hubs = FIRST_HUBS, MORE_HUBS
-    found = components(links)
-    while True:
-        member = buckets.select("band", "class").join(found, "class", "left")
-        member = member.withColumn("component", F.coalesce("component", "class"))
-        mixed = member.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-        member = member.join(mixed.select("band"), "band", "left_semi").withColumn("place", F.row_number().over(placed))
-        member = stored(member)
-        hub = member.filter((F.col("place") > done) & (F.col("place") <= done + hubs))
-        if hub.isEmpty():
-            return found
-        hub = hub.select("band", F.col("class").alias("a"), F.col("component").alias("component_a"), F.col("place").alias("at"))
-        later = member.join(hub, "band").filter("place > at and component <> component_a")
-        fresh = later.select("a", F.col("class").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        fresh = stored(_promising(fresh, marks))
-        if not fresh.isEmpty():
-            ends = fresh.select(F.col("a").alias("class")).union(fresh.select(F.col("b").alias("class"))).distinct()
-            lacking = ends.join(sets.select("class"), "class", "left_anti")
-            if not lacking.isEmpty():
-                sets = stored(sets.unionByName(_sets_of(docs, lacking)))
-            tested = stored(tested.unionByName(fresh))
-            links = stored(links.unionByName(_confirmed(fresh, sets)))
-            found = components(links)
-        done, hubs = done + hubs, hubs * MORE_HUBS
+    member = buckets.select("band", "class", "n").join(found, "class", "left")
+    member = member.withColumn("component", F.coalesce("component", "class"))
+    member = stored(_of_mixed(member))
+    signed = member.join(classes.select("class", "bands", "marks"), "class")
+    columns = ["class", "component", "n", "bands", "marks"]
+    flagged = _by_blocks(signed, F.count(F.lit(1)), BLOCK_MEMBERS, columns, _allowed_members, "band long, class binary")
+    flagged = stored(member.join(flagged.distinct(), ["band", "class"], "left_semi"))
+    lacking = flagged.select("class").distinct().join(sets.select("class"), "class", "left_anti")
+    extra = _sets_of(docs, stored(lacking))
+    with_sets = flagged.join(stored(sets.unionByName(extra)), "class")
+    columns = ["class", "component", "n", "shingles"]
+    return _by_blocks(with_sets, F.sum("n"), BLOCK_SHINGLES, columns, _spanning_links, "a binary, b binary").distinct()
+
+
+def _of_mixed(member: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components."""
+    mixed = member.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    return member.join(mixed.select("band"), "band", "left_semi")
+
+
+def _by_blocks(member: DataFrame, weight, limit: int, columns: list[str], compare, schema: str) -> DataFrame:
+    """``compare`` on every pair of blocks of every bucket; a block weighs about ``limit``."""
+    spread = member.groupBy("band").agg(F.ceil(weight / limit).cast("int").alias("blocks"))
+    dealt = member.join(spread, "band").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other"))
+    dealt = dealt.select(group.alias("group"), "band", *columns).repartition("group").sortWithinPartitions("group", "class")
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            keys = batch.column("group").to_numpy()
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                part = batch.slice(a, b - a)
+                if held and held[-1].column("group")[0] != part.column("group")[0]:
+                    yield compare(pa.Table.from_batches(held))
+                    held = []
+                held.append(part)
+        if held:
+            yield compare(pa.Table.from_batches(held))
+
+    return map_batches(dealt, step, schema)
+
+
+def _outside_first(components_of: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Component numbers, and the members outside the largest one: one of each unequal pair is there."""
+    _, number, size = np.unique(np.array(components_of, object), return_inverse=True, return_counts=True)
+    return number, np.flatnonzero(number != size.argmax())
+
+
+def _allowed_members(rows: pa.Table) -> pa.RecordBatch:
+    """Members with a partner in another component whose signature allows a link.
+
+    A pair that shares several buckets is looked at in the first of them only.
+    """
+    keys = rows.column("class").to_pylist()
+    number, outside = _outside_first(rows.column("component").to_pylist())
+    sizes = rows.column("n").to_numpy()
+    marks = np.frombuffer(b"".join(rows.column("marks").to_pylist()), np.uint8).reshape(-1, BINS)
+    bands = np.array(rows.column("bands").to_pylist(), np.int64)
+    band = rows.column("band")[0].as_py()
+    place = int(np.flatnonzero(bands[0] == band)[0])
+    hit = np.zeros(len(keys), bool)
+    for at in range(0, len(outside), 32):
+        these = outside[at : at + 32]
+        fits = (number[these, None] != number) & (100 * np.minimum(sizes[these, None], sizes) >= PERCENT * np.maximum(sizes[these, None], sizes))
+        i, j = np.nonzero(fits)
+        near = (marks[these[i]] == marks[j]).sum(axis=1) >= AGREE
+        i, j = i[near], j[near]
+        if place and len(i):
+            new = ~(bands[these[i], :place] == bands[j, :place]).any(axis=1)
+            i, j = i[new], j[new]
+        hit[these[i]] = hit[j] = True
+    kept = [k for k, h in zip(keys, hit.tolist(), strict=True) if h]
+    return pa.RecordBatch.from_arrays([pa.array([band] * len(kept), pa.int64()), pa.array(kept, pa.binary())], ["band", "class"])
+
+
+def _spanning_links(rows: pa.Table) -> pa.RecordBatch:
+    """Links between components by the exact sizes of all intersections, as few as span them."""
+    keys = rows.column("class").to_pylist()
+    number, outside = _outside_first(rows.column("component").to_pylist())
+    sets = [np.asarray(x.values) for x in rows.column("shingles")]
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    values = np.concatenate(sets)
+    _, column, count = np.unique(values, return_inverse=True, return_counts=True)
+    # a shingle of one member only is in no intersection
+    useful = count > 1
+    column_of = np.cumsum(useful) - 1
+    keep = useful[column]
+    owner, column = owner[keep], column_of[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    inter = np.zeros((len(outside), len(keys)), np.float32)
+    width = 2_048
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        part = slice(*np.searchsorted(column, [first, first + width]))
+        dense = np.zeros((len(keys), width), np.float32)
+        dense[owner[part], column[part] - first] = 1
+        inter += dense[outside] @ dense.T
+    shared = inter.astype(np.int64)
+    linked = 100 * shared >= PERCENT * (sizes[outside][:, None] + sizes - shared)
+    linked &= number[outside][:, None] != number
+    root = list(range(int(number.max()) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    left, right = [], []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+        a, b = find(int(number[outside[i]])), find(int(number[j]))
+        if a != b:
+            root[a] = b
+            left.append(keys[outside[i]]), right.append(keys[j])
+    return pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
