@@ -33,7 +33,7 @@ def uniform(doc_id: Column) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
-def quality_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def with_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with the column ``weight`` from the labels; of several labels the best counts."""
     best = labels.filter("doc_id is not null").groupBy(F.col("doc_id").alias("label_id")).agg(F.max("quality").alias("best"))
     weight = F.when(F.col("best") > 0, GOOD).when(F.col("best") <= 0, POOR).otherwise(UNKNOWN)
@@ -115,9 +115,15 @@ def _plan(sized: DataFrame, **rules) -> DataFrame:
     return stored(plan.withColumnRenamed("source", "plan_source"))
 
 
-def _prepared(docs: DataFrame) -> DataFrame:
-    """``docs`` with the columns size and key beside their own."""
-    return docs.withColumns({"size": count_words(F.col("text")), "key": F.pow(uniform(F.col("doc_id")), 1 / F.col("weight"))})
+def _keyed(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with weight and key beside their own columns."""
+    return with_weight(docs, labels).withColumn("key", F.pow(uniform(F.col("doc_id")), 1 / F.col("weight")))
+
+
+def _sized(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, source, size, key; labels are joined when the texts are gone."""
+    sizes = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"))
+    return stored(_keyed(sizes, labels).select("doc_id", "source", "size", "key"))
 
 
 def _decided(sized: DataFrame, plan: DataFrame) -> DataFrame:
@@ -135,30 +141,31 @@ def _decided(sized: DataFrame, plan: DataFrame) -> DataFrame:
     return joined.withColumn("extra", F.coalesce(extra, F.lit(0)).cast("long"))
 
 
-def mix(docs: DataFrame, **rules) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, **rules) -> DataFrame:
     """How many words of each document the mix takes.
 
-    ``docs``: doc_id, text, source, weight (above 0). One output row per input row: doc_id, size,
-    source_size, target, taken. A null source is a source, null and empty texts have size 0 and
-    give nothing, a source without words has target 0. Rows that repeat a doc_id share one draw;
-    where the target ends in them, each gives the same part, rounded down.
+    ``docs``: doc_id, text, source; ``labels``: doc_id, quality. One output row per input row:
+    doc_id, size, source_size, target, taken. A null source is a source, null and empty texts
+    have size 0 and give nothing, a source without words has target 0. Rows that repeat a doc_id
+    share one draw; where the target ends in them, each gives the same part, rounded down.
     """
-    sized = stored(_prepared(docs).select("doc_id", "source", "size", "key"))
+    sized = _sized(docs, labels)
     done = _decided(sized, _plan(sized, **rules))
     taken = F.col("size") * F.col("epochs") + F.col("extra")
     return done.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
-def mixed_texts(docs: DataFrame, **rules) -> DataFrame:
+def mixed_texts(docs: DataFrame, labels: DataFrame, **rules) -> DataFrame:
     """The mixed corpus: each document once per whole epoch and once more if sampled.
 
-    Input as for ``mix``; the output has the input's columns without ``weight``. The document at
-    the end of a source's sample keeps its first words, set apart by one blank.
+    Input as for ``mix``; the output has the columns of ``docs``. The document at the end of a
+    source's sample keeps its first words, set apart by one blank.
     """
-    columns = [c for c in docs.columns if c != "weight"]
-    sized = stored(_prepared(docs.select("doc_id", "text", "source", "weight")).select("doc_id", "source", "size", "key"))
-    own = docs.select(*[F.col(f"`{c}`").alias(f"own_{c}") for c in columns], "doc_id", "text", "source", "weight")
-    done = _decided(_prepared(own), _plan(sized, **rules))
+    columns = docs.columns
+    plan = _plan(_sized(docs, labels), **rules)
+    own = docs.select(*[F.col(f"`{c}`").alias(f"own_{c}") for c in columns], "doc_id", "text", "source")
+    sized = own.withColumn("size", count_words(F.col("text")))
+    done = _decided(_keyed(sized, labels), plan)
     # 0 marks the sampled copy, 1 and up are the epochs
     first = F.when(F.col("extra") > 0, 0).otherwise(1).cast("long")
     copies = done.filter((F.col("extra") > 0) | (F.col("epochs") > 0)).filter("size > 0")

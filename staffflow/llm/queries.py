@@ -10,7 +10,7 @@ from staffflow.llm.chunks import vocabulary
 from staffflow.llm.common import read
 from staffflow.llm.decontamination import contaminated
 from staffflow.llm.language_model import language_model_scores
-from staffflow.llm.mixing import MIX_SQL, mix, quality_weight
+from staffflow.llm.mixing import MIX_SQL, mix
 from staffflow.llm.near_duplicates import near_duplicates
 from staffflow.llm.quality import QUALITY_SQL, judge
 from staffflow.llm.secrets import find_secrets
@@ -41,8 +41,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_source_mixing", MIX_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(quality_weight(docs, read(spark, sf_dir, "labels")))
+    return mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 @query("op7_token_id_files")
