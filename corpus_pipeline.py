@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from staffflow.llm.chunks import vocabulary
 from staffflow.llm.common import read, stored
 from staffflow.llm.decontamination import without_benchmark
-from staffflow.llm.mixing import mixed_texts, quality_weight
+from staffflow.llm.mixing import mixed_texts
 from staffflow.llm.near_duplicates import one_of_each
 from staffflow.llm.token_ids import digest, token_files
 from staffflow.llm.toxicity import without_toxic
@@ -37,7 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
-    return mixed_texts(quality_weight(docs, read(spark, sf_dir, "labels")))
+    return mixed_texts(docs, read(spark, sf_dir, "labels"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
