@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,15 @@ def map_batches(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterat
     return df.mapInArrow(step, schema)
 
 
+def sent(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast ``value``; the result, called in a task, gives it there.
+
+    A plain broadcast names its classes by module, which executors need not have.
+    """
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [x or "" for x in batch.column(column).to_pylist()]

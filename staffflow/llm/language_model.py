@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffflow.llm.common import bytes_of, id_remainder, map_batches, stored
+from staffflow.llm.common import bytes_of, id_remainder, map_batches, sent, stored
 
 #: A word is frequent if it is more than 1/HEAD of the training tokens.
 HEAD = 1 << 16
@@ -264,7 +264,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> Parameters:
 
     def passed(rows: DataFrame, held, passes: int, rate: float) -> Parameters:
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            given, words, places, unit_counts = held.value
+            given, words, places, unit_counts = held()
             codes = words.codes()
             p = Parameters(*(a.copy() for a in (given.context, given.target, given.bias, given.scale)))
             trainer = Trainer(p, unit_counts, 1, rate)
@@ -289,22 +289,23 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> Parameters:
         sums = [(F.sum(F.col("v")[k]) / F.sum("n")).alias(f"s{k}") for k in range(DIM + 1)]
         found = parts.groupBy("row").agg(*sums).toArrow().sort_by("row")
         if not found.num_rows:
-            return held.value[0]
+            return held()[0]
         return Parameters.of_rows(np.stack([found.column(f"s{k}").to_numpy() for k in range(DIM + 1)], axis=1))
 
     sample = docs.select("text").orderBy(F.xxhash64("text")).limit(SAMPLE).coalesce(1)
-    first = passed(sample, spark.sparkContext.broadcast((start, vocabulary, unit_of, counts)), PASSES, RATE)
-    return passed(docs, spark.sparkContext.broadcast((first, vocabulary, unit_of, counts)), 1, RATE / 3)
+    first = passed(sample, sent(spark, (start, vocabulary, unit_of, counts)), PASSES, RATE)
+    return passed(docs, sent(spark, (first, vocabulary, unit_of, counts)), 1, RATE / 3)
 
 
 def normaliser_of(spark, p: Parameters) -> np.ndarray:
     """ln normaliser of every (far, near) pair of units, one row of the table per input row."""
-    held, n = spark.sparkContext.broadcast(p), len(p.bias)
+    held, n = sent(spark, p), len(p.bias)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = held()
         for batch in batches:
             far = batch.column("id").to_pylist()
-            rows = [log_normaliser(held.value, k).astype(np.float32) for k in far]
+            rows = [log_normaliser(given, k).astype(np.float32) for k in far]
             yield pa.RecordBatch.from_arrays([pa.array(far, pa.int64()), pa.array(rows, pa.list_(pa.float32()))], ["far", "z"])
 
     rows = map_batches(spark.range(0, n, 1, 16), step, "far long, z array<float>").toArrow().sort_by("far")
@@ -332,11 +333,11 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
         )
     p = train(learn, words)
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast((p, normaliser_of(spark, p), words))
+    model = sent(spark, (p, normaliser_of(spark, p), words))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given, z, vocabulary = model.value
+        given, z, vocabulary = model()
         scorer, codes, places = Scorer(given, z), vocabulary.codes(), vocabulary.unit_of_code()
         head, m = codes.head, vocabulary.n_model_words
         count_log = np.concatenate((np.log10(vocabulary.counts + 1.0), np.zeros(CLASSES)))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffflow.llm.common import UPPER, LOWER, id_remainder, map_batches, stored, texts_of
+from staffflow.llm.common import LOWER, UPPER, id_remainder, map_batches, sent, stored, texts_of
 
 SHORTEST, LONGEST = 3, 5
 #: Labelled rows at most that the classifier is fitted on; which ones, a hash of the id decides.
@@ -24,7 +24,7 @@ SAMPLE = 8_000
 #: Features at most, the ones whose ratio stands out most.
 FEATURES = 20_000
 #: Document counts added to each class, and how many standard errors a ratio must be off zero.
-SMOOTHING, ERRORS = 0.5, 4.0
+SMOOTHING, ERRORS = 0.5, 2.5
 LEAST_DOCUMENTS = 4
 RIDGE = 1e-3
 CUT = 0.7
@@ -167,13 +167,13 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score (0 to 1), predicted (1 from CUT on) of every row; a null text is empty."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = sent(docs.sparkSession, model)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[str, ...]] = {}
+        judge, known = held(), {}
         for batch in batches:
-            found = held.value.score(texts_of(batch), known)
+            found = judge.score(texts_of(batch), known)
             if len(known) > 500_000:
                 known.clear()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())], ["doc_id", "score"])
@@ -197,12 +197,12 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, all of their columns."""
     held_out = id_remainder(F.col("doc_id"), 3) == 1
     model = fit(training_rows(docs.select("doc_id", "text"), labels.filter(~held_out)))
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = sent(docs.sparkSession, model)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[str, ...]] = {}
+        judge, known = held(), {}
         for batch in batches:
-            found = np.array(held.value.score(texts_of(batch), known))
+            found = np.array(judge.score(texts_of(batch), known))
             if len(known) > 500_000:
                 known.clear()
             yield batch.filter(pa.array(found < CUT))
