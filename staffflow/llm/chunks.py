@@ -1,4 +1,4 @@
-"""Encoding with a public tokenizer, each distinct blank-delimited chunk once per task."""
+"""Encoding with a public tokenizer, each distinct blank-delimited chunk once per worker."""
 
 from __future__ import annotations
 
@@ -31,6 +31,18 @@ def _byte_characters() -> dict[int, str]:
 BYTE_CHARACTERS = _byte_characters()
 
 
+class _Numbers(dict):
+    """Chunk to its number in an encoder, learnt at the first look-up; -1 where chunks cannot be told apart."""
+
+    def __init__(self, encoder: ChunkEncoder, before: str):
+        super().__init__()
+        self.encoder, self.before = encoder, before
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = self.encoder._learn(chunk, self.before)
+        return number
+
+
 class ChunkEncoder:
     """Ids of whole texts of a byte-level BPE whose words may start with one blank.
 
@@ -49,16 +61,12 @@ class ChunkEncoder:
 
     def _clear(self) -> None:
         # a text's first chunk has no blank before it
-        self.first: dict[str, int] = {}
-        self.later: dict[str, int] = {}
+        self.first, self.later = _Numbers(self, ""), _Numbers(self, " ")
         self.flat = np.empty(1 << 20, np.uint32)
         self.starts = np.empty(1 << 18, np.int64)
         self.sizes = np.empty(1 << 18, np.int64)
         self.used = self.known = 0
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
     def _ids(self, chunk: str) -> list[int]:
         word, mark = (chunk[:-1], chunk[-1]) if chunk[-1] in ".," else (chunk, "")
         body = word[1:] if word[:1] == " " else word
@@ -68,55 +76,37 @@ class ChunkEncoder:
             return ids + [t.id for t in merge(mark)] if mark else ids
         return self.tokenizer.encode(chunk, add_special_tokens=False).ids
 
-    def _learn(self, table: dict[str, int], chunks: set[str], before: str) -> None:
-        for chunk in chunks:
-            if chunk in table:
-                continue
-            if chunk == "" or chunk[-1].isspace():
-                table[chunk] = -1
-                continue
-            ids = self._ids(before + chunk)
-            n, end = len(ids), self.used + len(ids)
-            while end > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            if self.known == len(self.starts):
-                self.starts, self.sizes = (np.resize(a, 2 * len(a)) for a in (self.starts, self.sizes))
-            self.flat[self.used : end] = ids
-            self.starts[self.known], self.sizes[self.known] = self.used, n
-            table[chunk] = self.known
-            self.used, self.known = end, self.known + 1
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text as unsigned 32-bit integers."""
+    def _learn(self, chunk: str, before: str) -> int:
+        if chunk == "" or chunk[-1].isspace():
+            return -1
+        ids = self._ids(before + chunk)
+        n, end = len(ids), self.used + len(ids)
+        while end > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        if self.known == len(self.starts):
+            self.starts, self.sizes = (np.resize(a, 2 * len(a)) for a in (self.starts, self.sizes))
+        self.flat[self.used : end] = ids
+        self.starts[self.known], self.sizes[self.known] = self.used, n
+        self.used, self.known = end, self.known + 1
+        return self.known - 1
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text as unsigned 32-bit integers."""
+        if text == "":
+            return np.empty(0, np.uint32)
         if self.known > self.LIMIT:
             self._clear()
-        split = [t.split(" ") for t in texts]
-        self._learn(self.first, {p[0] for p in split}, "")
-        later, out = self.later, []
-        whole: list[int] = []
-        missing: set[str] = set()
-        for parts in split:
-            missing.update(p for p in parts[1:] if p not in later)
-        if missing:
-            self._learn(later, missing, " ")
-        for k, parts in enumerate(split):
-            at = np.empty(len(parts), np.int64)
-            at[0] = self.first[parts[0]]
-            at[1:] = [later[p] for p in parts[1:]]
-            if texts[k] == "":
-                out.append(np.empty(0, np.uint32))
-            elif at.min() < 0:
-                whole.append(k)
-                out.append(None)
-            else:
-                sizes = self.sizes[at]
-                ends = np.cumsum(sizes)
-                place = np.repeat(self.starts[at] - ends + sizes, sizes)
-                place += np.arange(ends[-1])
-                out.append(self.flat[place])
-        for k, ids in zip(whole, self._encode([texts[k] for k in whole]), strict=True):
-            out[k] = np.array(ids, np.uint32)
-        return out
+        parts = text.split(" ")
+        at = np.empty(len(parts), np.int64)
+        at[0] = self.first[parts[0]]
+        at[1:] = np.fromiter(map(self.later.__getitem__, parts[1:]), np.int64, len(parts) - 1)
+        if at.min() < 0:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        place = np.repeat(self.starts[at] - ends + sizes, sizes)
+        place += np.arange(ends[-1])
+        return self.flat[place]
 
 
 def process_encoder(path: str) -> ChunkEncoder:
@@ -127,15 +117,3 @@ def process_encoder(path: str) -> ChunkEncoder:
     if path not in held:
         held[path] = ChunkEncoder(load(path))
     return held[path]
-
-
-def groups(texts: list[str], characters: int = 1 << 20):
-    """Slices of a list of texts, each of about so many characters at most, at least one text."""
-    start = size = 0
-    for k, text in enumerate(texts):
-        if size and size + len(text) > characters:
-            yield slice(start, k)
-            start, size = k, 0
-        size += len(text)
-    if start < len(texts):
-        yield slice(start, len(texts))

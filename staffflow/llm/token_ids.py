@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staffflow.llm import rans
-from staffflow.llm.chunks import groups, process_encoder
+from staffflow.llm.chunks import process_encoder
 from staffflow.llm.common import map_batches, stored, texts_of
 
 END = 0
@@ -55,16 +55,14 @@ def write_ids(docs: DataFrame, path: str, end: int = END) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
-            texts, ids = texts_of(batch), batch.column("doc_id").to_pylist()
-            for group in groups(texts):
-                for doc_id, tokens in zip(ids[group], encoder.encode(texts[group]), strict=True):
-                    held.append(np.append(tokens, np.uint32(end)))
-                    doc_ids.append(doc_id)
-                    size += len(tokens) + 1
-                    if size >= FILE_IDS:
-                        yield file()
-                        first, number = first + size, number + 1
-                        held, doc_ids, size = [], [], 0
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
+                held.append(np.append(encoder.encode(text), np.uint32(end)))
+                doc_ids.append(doc_id)
+                size += len(held[-1])
+                if size >= FILE_IDS:
+                    yield file()
+                    first, number = first + size, number + 1
+                    held, doc_ids, size = [], [], 0
         if held:
             yield file()
 
