@@ -19,13 +19,16 @@ def filter_status_in(df: DataFrame, statuses: list[str]) -> DataFrame:
     return df.filter(F.col("status").isin(statuses))
 
 
-def latest_period_snapshot(df: DataFrame, label: str = "turnover") -> DataFrame:
+def latest_period_snapshot(df: DataFrame, label: str = "turnover", as_of: tuple[int, int] | None = None) -> DataFrame:
     """Rows of the last month of the last year whose label is 0.
 
-    The period is a scalar subquery: it runs first and its value prunes the
-    (year, month) partitions of a stored panel.
+    With ``as_of``, a (year, month), later months are not looked at. The period is a scalar
+    subquery: it runs first and its value prunes the (year, month) partitions of a stored panel.
     """
-    last = df.agg(F.max(F.struct("year", "month")).alias("p"))
+    known = df
+    if as_of is not None:
+        known = df.filter(F.struct("year", "month") <= F.struct(F.lit(as_of[0]).alias("year"), F.lit(as_of[1]).alias("month")))
+    last = known.agg(F.max(F.struct("year", "month")).alias("p"))
     year = last.select("p.year").scalar()
     month = last.select("p.month").scalar()
     return df.filter((F.col("year") == year) & (F.col("month") == month) & (F.col(label) == 0))

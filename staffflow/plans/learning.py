@@ -21,6 +21,7 @@ from staffflow.plans.preparation import (
 from staffflow.plans.registry import query
 from staffflow.session import new_path
 from staffflow.sources import files
+from staffflow.sources.tables import AS_OF
 
 _SETS: dict[tuple[str, str], ops.TrainingSet] = {}
 _MODELS: dict[tuple[str, str, str], object] = {}
@@ -94,7 +95,7 @@ def score_all_models(spark, sf_dir):
 @query("critical_employees_trained")
 def critical_employees_trained(spark, sf_dir):
     """The people most at risk under every trained model in the latest period."""
-    rows = latest_period_snapshot(labelled(spark, sf_dir).withColumn("turnover", (F.col("status") == "Left").cast("int")))
+    rows = latest_period_snapshot(labelled(spark, sf_dir).withColumn("turnover", (F.col("status") == "Left").cast("int")), as_of=AS_OF)
     coded = data(spark, sf_dir).encoder.transform(training_inputs(rows))
     return top_per_model(ops.score_all_models(coded, all_models(spark, sf_dir), [*KEY, "name", "position"]))
 

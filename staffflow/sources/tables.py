@@ -1,9 +1,10 @@
 """The panel and score views derived from the star-schema tables.
 
 ``panel`` turns orders into an employee-by-month table: a customer is an
-employee, the order with the largest key in a month is the row of that month.
-Joins are added only for the columns asked for, so that a two-column query does
-not read line items.
+employee, all orders of a month make one row. Pay, line items and quantities are
+summed; status, absence reason and the expressions of the order key come from
+the month's last order, the one with the largest key. Joins are added only for
+the columns asked for, so that a two-column query does not read line items.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-OPEN_MONTH = "2001-08-01"  # the last month is incomplete and left out
+# the last month with more than a few orders: what the ranking queries take as "now"
+AS_OF = (2001, 7)
 
 _FROM_LINES = {"overtime", "absence_days", "switching_readiness"}
 _FROM_SPELL = {"hiring_date", "exit_date", "status", "tenure"}
@@ -38,7 +40,6 @@ def panel(
     needs = set(wanted)
     src = (
         (orders if orders is not None else table(spark, sf_dir, "orders"))
-        .filter(F.col("o_orderdate") < OPEN_MONTH)
         .select(
             F.col("o_custkey").alias("employee_id"),
             F.col("o_orderdate").cast("date").alias("period_date"),
@@ -47,13 +48,15 @@ def panel(
         .withColumn("year", F.year("period_date"))
         .withColumn("month", F.month("period_date"))
     )
-    # one row per employee-month; max of a struct combines map-side, a hot employee spreads by month
-    row = F.struct("o_orderkey", "period_date", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    rows = (
-        src.groupBy("employee_id", "year", "month")
-        .agg(F.max(row).alias("row"))
-        .select("employee_id", "year", "month", "row.*")
-    )
+    sums = [F.max("period_date").alias("period_date"), F.round(F.sum("o_totalprice"), 2).alias("o_totalprice")]
+    detailed = src
+    if needs & _FROM_LINES:
+        detailed = src.join(order_lines(spark, sf_dir), "o_orderkey", "left")
+        sums += [F.sum("n_lines").alias("n_lines"), F.sum("qty").alias("qty"), F.max("disc").alias("disc")]
+    # one row per employee-month; sums and the max of a struct combine map-side, a hot employee spreads by month
+    last = F.struct("o_orderkey", "o_orderstatus", "o_orderpriority")
+    rows = detailed.groupBy("employee_id", "year", "month").agg(F.max(last).alias("last"), *sums)
+    rows = rows.select("*", "last.*").drop("last")
     if needs & _FROM_SPELL:
         spell = src.groupBy("employee_id").agg(
             F.min("period_date").alias("hiring_date"),
@@ -74,8 +77,6 @@ def panel(
                 region, F.col("n_regionkey") == F.col("r_regionkey")
             )
         rows = rows.join(staff, "employee_id")
-    if needs & _FROM_LINES:
-        rows = rows.join(order_lines(spark, sf_dir), "o_orderkey", "left")
     expr = _panel_expressions()
     return rows.select(*[expr[c].alias(c) for c in wanted])
 
@@ -155,27 +156,29 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The same views as common table expressions for the SQL engine of the checks.
-PANEL_SQL = f"""
+PANEL_SQL = """
+lines AS (
+  SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty, max(l_discount) AS disc
+  FROM lineitem GROUP BY l_orderkey),
 ord AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
          CAST(o_orderdate AS DATE) AS d,
          CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(month(o_orderdate) AS INTEGER) AS mo
-  FROM orders WHERE o_orderdate < TIMESTAMP '{OPEN_MONTH}'),
+  FROM orders),
 picked AS (
-  SELECT *, row_number() OVER (PARTITION BY o_custkey, yr, mo ORDER BY o_orderkey DESC) AS rn FROM ord),
+  SELECT o_custkey, yr, mo, max(o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus,
+    arg_max(o_orderpriority, o_orderkey) AS o_orderpriority, round(sum(o_totalprice), 2) AS o_totalprice, max(d) AS d,
+    sum(n_lines) AS n_lines, sum(qty) AS qty, max(disc) AS disc
+  FROM ord LEFT JOIN lines ON o_orderkey = l_orderkey GROUP BY o_custkey, yr, mo),
 spell AS (
   SELECT o_custkey AS ck, min(d) AS hired, max(yr * 12 + mo) AS last_mo FROM ord GROUP BY o_custkey),
-lines AS (
-  SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty, max(l_discount) AS disc
-  FROM lineitem GROUP BY l_orderkey),
 base AS (
-  SELECT p.*, s.hired, c.c_name, c.c_mktsegment, r.r_name, l.n_lines, l.qty, l.disc,
+  SELECT p.*, s.hired, c.c_name, c.c_mktsegment, r.r_name,
          CASE WHEN s.last_mo = p.yr * 12 + p.mo AND o_orderstatus = 'F' THEN 'Left'
               WHEN s.last_mo = p.yr * 12 + p.mo AND o_orderstatus = 'P' THEN 'Retired'
               ELSE 'Active' END AS st
   FROM picked p JOIN spell s ON p.o_custkey = s.ck JOIN customer c ON p.o_custkey = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-  LEFT JOIN lines l ON p.o_orderkey = l.l_orderkey WHERE p.rn = 1),
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
 panel AS (
   SELECT o_custkey AS employee_id, c_name AS name, yr AS year, mo AS month, d AS period_date,
     hired AS hiring_date, st AS status, CASE WHEN st <> 'Active' THEN d END AS exit_date,
@@ -215,6 +218,10 @@ scores AS (
   UNION ALL SELECT row_key, 'disc', y, disc FROM wide)"""
 
 
+# the last period of a table or view with year and month, up to AS_OF
+UP_TO_NOW = f"year * 12 + month <= {AS_OF[0] * 12 + AS_OF[1]}"
+
+
 def on_panel(sql: str, *more: str) -> str:
     """SQL text over the panel view; ``more`` holds further CTEs."""
     return "WITH " + ",\n".join([PANEL_SQL, *more]) + "\n" + sql
