@@ -56,7 +56,8 @@ class ChunkEncoder:
     LIMIT = 1_000_000
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+        self.tokenizer, self.merge = tokenizer, tokenizer.model.tokenize
+        self.marks = {m: tokenizer.token_to_id(m) for m in ".,"}
         self._clear()
 
     def _clear(self) -> None:
@@ -67,19 +68,21 @@ class ChunkEncoder:
         self.sizes = np.empty(1 << 18, np.int64)
         self.used = self.known = 0
 
-    def _ids(self, chunk: str) -> list[int]:
+    def _ids(self, chunk: str, before: str) -> list[int]:
         word, mark = (chunk[:-1], chunk[-1]) if chunk[-1] in ".," else (chunk, "")
-        body = word[1:] if word[:1] == " " else word
-        if body.isalpha() and max(body) < "\u0250":
-            merge = self.tokenizer.model.tokenize
-            ids = [t.id for t in merge(word.encode().decode("latin-1").translate(BYTE_CHARACTERS))]
-            return ids + [t.id for t in merge(mark)] if mark else ids
-        return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        if not word.isalpha() or (not word.isascii() and max(word) >= "\u0250"):
+            return self.tokenizer.encode(before + chunk, add_special_tokens=False).ids
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        ids = [t.id for t in self.merge(BYTE_CHARACTERS[32] + word if before else word)]
+        if mark:
+            ids.append(self.marks[mark])
+        return ids
 
     def _learn(self, chunk: str, before: str) -> int:
         if chunk == "" or chunk[-1].isspace():
             return -1
-        ids = self._ids(before + chunk)
+        ids = self._ids(chunk, before)
         n, end = len(ids), self.used + len(ids)
         while end > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
