@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 # fixed value: a word is a run of characters other than blank, tab, LF, VT, FF and CR
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
+BATCH_ROWS = 1_024
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -22,8 +23,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str):
-    """``step`` over the Arrow batches of every partition."""
-    return df.mapInArrow(step, schema)
+    """``step`` over the Arrow batches of every partition, BATCH_ROWS rows at a time to bound a worker's memory."""
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                yield batch.slice(at, BATCH_ROWS)
+
+    return df.mapInArrow(lambda batches: step(pieces(batches)), schema)
 
 
 def sent(spark: SparkSession, value: Any) -> Callable[[], Any]:

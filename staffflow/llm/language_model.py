@@ -32,7 +32,7 @@ from staffflow.llm.common import bytes_of, id_remainder, map_batches, sent, stor
 #: A word is frequent if it is more than 1/HEAD of the training tokens.
 HEAD = 1 << 16
 UNITS, CLASSES = 1024, 64
-DIM = 32
+DIM = 16
 NOISE, BATCH, RATE = 32, 4096, 0.15
 #: Documents of the first fit at most, and its passes over them.
 SAMPLE, PASSES = 1_000, 4
@@ -92,7 +92,7 @@ class _Codes(dict):
         return code
 
     def of(self, tokens: list[bytes]) -> np.ndarray:
-        if len(self) > 600_000:
+        if len(self) > 300_000:
             for word in [w for w, code in self.items() if code >= self.head]:
                 del self[word]
         return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
@@ -230,7 +230,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text in bytes_of(batch):
                 counts.update(tokens_of(text))
-                if len(counts) > 500_000:
+                if len(counts) > 250_000:
                     yield flushed()
         yield flushed()
 
