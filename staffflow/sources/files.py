@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +17,10 @@ CORRUPT = "_corrupt_record"
 # whole lines are parsed whatever columns are asked for, so the same lines count as broken
 CSV_OPTIONS = {
     "header": "true",
-    "mode": "DROPMALFORMED",
+    "mode": "PERMISSIVE",
     "columnPruning": "false",
+    "columnNameOfCorruptRecord": CORRUPT,
+    "escape": '"',
 }
 SCORE_COLUMNS = ["name", "employee_id", "churn_probability"]
 
@@ -24,10 +29,10 @@ class SourceError(ValueError):
     """A source that cannot be read as a table."""
 
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
+def header_of(spark: SparkSession, path: str, multi_line: bool = False) -> list[str]:
     """Column names of a CSV source; reads the first line only, never infers types."""
     try:
-        names = spark.read.option("header", True).csv(path).columns
+        names = spark.read.option("header", True).option("multiLine", multi_line).csv(path).columns
     except AnalysisException as error:
         raise SourceError(f"cannot read {path}: {error.getCondition()}") from error
     if not names:
@@ -35,11 +40,30 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return names
 
 
+def files_of(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files below the paths, by Spark's own listing; no content is read."""
+    try:
+        listed = spark.read.format("binaryFile").load(paths).select("path")
+        return sorted(r.path for r in listed.collect())
+    except AnalysisException as error:
+        raise SourceError(f"cannot read {paths}: {error.getCondition()}") from error
+
+
 def text_schema(header: list[str]) -> T.StructType:
     """Every column as text, under the delivered headers."""
     return T.StructType([T.StructField(h, T.StringType()) for h in header])
 
 
+def _typed(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.DateType):
+        return F.try_to_date(value, "yyyy-MM-dd")
+    if isinstance(kind, T.IntegralType):
+        # whole numbers may be written as 31.0
+        number = value.try_cast("double")
+        return F.coalesce(value.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+    return value.try_cast(kind)
+
+
 def typed_panel(texts: DataFrame) -> DataFrame:
     """Texts under the delivered headers to typed columns under ours.
 
@@ -51,27 +75,64 @@ def typed_panel(texts: DataFrame) -> DataFrame:
         name = HEADER_TO_NAME.get(header, header)
         text = strip(F.col(f"`{header}`"))
         value = F.when(~text.isin(NULL_TEXTS), text)
-        if name in PANEL.fieldNames():
-            kind = PANEL[name].dataType
-            value = F.try_to_date(value, "yyyy-MM-dd") if isinstance(kind, T.DateType) else value.try_cast(kind)
-        out.append(value.alias(name))
+        out.append((_typed(value, PANEL[name].dataType) if name in PANEL.fieldNames() else value).alias(name))
     return texts.select(*out)
 
 
-def scan_panel_csv(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
-    """Delivered CSV files as a typed table without the lines that do not parse.
+def _layouts(spark: SparkSession, paths: str | list[str], multi_line: bool) -> dict[tuple[str, ...], list[str]]:
+    """Files by their own header, so that every one is read by its column names."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    listed = [f for f in files_of(spark, paths) if not f.rpartition("/")[2].startswith(("_", "."))]
+    with ThreadPoolExecutor(16) as pool:  # each reads one line
+        headers = list(pool.map(lambda f: header_of(spark, f, multi_line), listed))
+    for file, header in zip(listed, headers, strict=True):
+        groups.setdefault(tuple(header), []).append(file)
+    if not groups:
+        raise SourceError(f"no files in {paths}")
+    for header, files in groups.items():
+        if "Employee_ID" not in header and "employee_id" not in header:
+            raise SourceError(f"unknown layout in {files[0]}: {', '.join(header)}")
+    return groups
+
+
+def _lines(spark: SparkSession, paths: str | list[str], multi_line: bool) -> list[tuple[list[str], DataFrame]]:
+    out = []
+    for header, files in _layouts(spark, paths, multi_line).items():
+        marked = text_schema(list(header)).add(CORRUPT, T.StringType())
+        out.append((list(header), spark.read.schema(marked).options(**CSV_OPTIONS).option("multiLine", multi_line).csv(files)))
+    return out
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def scan_panel_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Delivered CSV files as a typed table; every file is read by its own header.
 
-    With ``keep_corrupt`` the result is those lines instead, all columns as text.
+    A short line is padded with nulls, of a long one the surplus is cut; ``csv_line_report``
+    counts both. With ``multi_line`` a quoted value may hold line breaks; a file is then one task.
     """
-    header = header_of(spark, path)
-    if not keep_corrupt:
-        return typed_panel(spark.read.schema(text_schema(header)).options(**CSV_OPTIONS).csv(path))
-    marked = text_schema(header).add(CORRUPT, T.StringType())
-    options = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    lines = spark.read.schema(marked).options(**options).csv(path)
-    # a count would read the marker column alone, which the reader refuses: tie it to another
-    tied = F.length(F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))) >= 0
-    return lines.filter(F.col(CORRUPT).isNotNull() & tied)
+    return _union([typed_panel(df.drop(CORRUPT)) for _, df in _lines(spark, path, multi_line)])
+
+
+def corrupt_lines(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """(line, problem) of the lines that do not fit their header: ``short``, ``long`` or ``broken`` quotes."""
+    parts = []
+    for header, df in _lines(spark, path, multi_line):
+        # a count would read the marker column alone, which the reader refuses: tie it to another
+        tied = F.length(F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))) >= 0
+        bare = F.regexp_replace(CORRUPT, r'"([^"]|"")*"', "")
+        fields = F.regexp_count(bare, F.lit(",")) + 1
+        problem = F.when(F.contains(bare, F.lit('"')), "broken").when(fields < len(header), "short").when(fields > len(header), "long")
+        line = F.col(CORRUPT).alias("line")
+        parts.append(df.filter(F.col(CORRUPT).isNotNull() & tied).select(line, F.coalesce(problem, F.lit("broken")).alias("problem")))
+    return _union(parts)
+
+
+def csv_line_report(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """(problem, n_lines) for every kind of line that does not fit."""
+    return corrupt_lines(spark, path, multi_line).groupBy("problem").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def write_panel(df: DataFrame, path: str, fmt: str = "parquet") -> None:

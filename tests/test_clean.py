@@ -47,13 +47,23 @@ def test_csv_scan_types_nulls_and_broken_lines(spark, tmp_path):
         "2020,2,8,N/A,none,Senior Level,abc\n"
         "2020,2,8,N/A,none,Senior Level,1,extra\n"
     )
-    rows = files.scan_panel_csv(spark, str(path)).orderBy("employee_id").collect()
-    assert [r["employee_id"] for r in rows] == [7, 8]
+    rows = files.scan_panel_csv(spark, str(path)).orderBy("employee_id", "month").collect()
+    assert [r["employee_id"] for r in rows] == [7, 8, 8]
     assert rows[0]["hiring_date"] == datetime.date(2019, 3, 1) and rows[0]["absence_reason"] is None
     assert rows[1]["hiring_date"] is None and rows[1]["absence_reason"] == "none" and rows[1]["salary"] is None
-    broken = files.scan_panel_csv(spark, str(path), keep_corrupt=True).collect()
-    assert len(broken) == 1 and "extra" in broken[0][files.CORRUPT]
-    assert files.scan_panel_csv(spark, str(path)).count() == 2
+    broken = files.corrupt_lines(spark, str(path)).collect()
+    assert [(r["problem"], "extra" in r["line"]) for r in broken] == [("long", True)]
+
+
+def test_csv_files_are_read_by_their_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Employee_ID,Name,Age,Salary\n1,"x\ny",31,5\n2,short\n')
+    (tmp_path / "b.csv").write_text("Name,Employee_ID,Salary,Age\nz,9,44.0,31.0\n")
+    rows = files.scan_panel_csv(spark, str(tmp_path), multi_line=True).orderBy("employee_id").collect()
+    assert [(r["employee_id"], r["name"], r["age"], r["salary"]) for r in rows] == [(1, "x\ny", 31, 5.0), (2, "short", None, None), (9, "z", 31, 44.0)]
+    assert [tuple(r) for r in files.csv_line_report(spark, str(tmp_path), multi_line=True).collect()] == [("short", 1)]
+    (tmp_path / "c.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(files.SourceError):
+        files.scan_panel_csv(spark, str(tmp_path))
 
 
 def test_csv_scan_reports_missing_and_empty_files(spark, tmp_path):
