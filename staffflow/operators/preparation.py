@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staffflow.functions.ordered import hash_rank
+from staffflow.operators.clean import sick_absence_only
+from staffflow.operators.filters import drop_retired
 
 MISSING = "nan"  # a missing category is a category of its own
 
@@ -55,16 +57,29 @@ def one_hot_drop_first(df: DataFrame, columns: list[str]) -> DataFrame:
     return coded.select(*kept, *dummies)
 
 
-def feature_pipeline(numeric: list[str], categorical: list[str]) -> Pipeline:
-    """Encoder, assembler and scaler as one reusable artefact; output column ``features``.
+def fit_features(df: DataFrame, numeric: list[str], categorical: list[str]) -> PipelineModel:
+    """Fitted encoder, scaler and assembler as one reusable artefact; output column ``features``.
 
-    Numerics are standardised, dummies stay 0/1. Spark scales by the n-1 std,
-    which differs from the population std by a constant factor near one.
+    Numbers are scaled by mean and population std, two numbers per column from one aggregate; a
+    constant column divides by one. Dummies stay 0/1.
     """
-    number_vector = VectorAssembler(inputCols=numeric, outputCol="_numbers", handleInvalid="error")
-    scaler = StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True)
-    everything = VectorAssembler(inputCols=["_scaled", *[f"_v_{c}" for c in categorical]], outputCol="features")
-    return Pipeline(stages=[*_encoder_stages(categorical), number_vector, scaler, everything])
+    fitted = df.agg(
+        *[F.avg(c).alias(f"m_{c}") for c in numeric], *[F.stddev_pop(c).alias(f"s_{c}") for c in numeric]
+    ).first()
+    scaled = ", ".join(f"(`{c}` - ({fitted[f'm_{c}']!r}D)) / {fitted[f's_{c}'] or 1.0!r}D AS `_z_{c}`" for c in numeric)
+    scaler = SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__")
+    columns = [*[f"_z_{c}" for c in numeric], *[f"_v_{c}" for c in categorical]]
+    everything = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="error")
+    return Pipeline(stages=[*_encoder_stages(categorical), scaler, everything]).fit(df)
+
+
+def model_inputs(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """What every model sees, in training and in scoring: nobody retired, absence days of illness only.
+
+    Numbers come as ``x_*`` doubles beside the other columns, categories as texts without nulls.
+    """
+    rows = sick_absence_only(drop_retired(df))
+    return prepare_inputs(rows.withColumns({f"x_{c}": F.col(c).cast("double") for c in numeric}), [], categorical)
 
 
 def prepare_inputs(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:

@@ -38,6 +38,7 @@ WORK_MODEL_FACTOR = {"Part-time": 0.7, "Homeoffice": 0.9}
 LEADERSHIP = ["Office Manager", "Headquarters Manager", "Department Head", "Assistant Department Head"]
 TEAM_LEADS = ["Department Head", "Assistant Department Head", "Office Manager"]
 JOB_LEVEL_RANK = {"Entry Level": 1, "Mid Level": 2, "Senior Level": 3, "Executive Level": 4}
+PROGRESSION_RANK = {"Leave and Rejoin": 2, "No Change": 4, "Lateral Move": 5, "Promotion": 8}  # on the scale of the digits, 0 to 10
 RETIREMENT_AGE = 67
 BASE_SALARY = 30000.0
 
@@ -158,10 +159,20 @@ def switching_readiness_score(df: DataFrame) -> DataFrame:
     return df.withColumn("readiness_score", F.rint(raw * 100) / 100)
 
 
+def _mixed_rank(col: str, ranks: dict[str, int]) -> Column:
+    words = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])
+    text = F.col(col).cast("string")
+    return F.coalesce(text.try_cast("int"), F.try_element_at(words, text))
+
+
 def job_level_rank(col: str = "job_level") -> Column:
     """Mixed job level as a number: digits as they are, words by rank."""
-    words = F.create_map(*[F.lit(x) for pair in JOB_LEVEL_RANK.items() for x in pair])
-    return F.coalesce(F.col(col).try_cast("int"), F.try_element_at(words, F.col(col)))
+    return _mixed_rank(col, JOB_LEVEL_RANK)
+
+
+def progression_rank(col: str = "job_role_progression") -> Column:
+    """Mixed job role progression as a number: digits as they are, words by rank."""
+    return _mixed_rank(col, PROGRESSION_RANK)
 
 
 RISK_COMPONENTS = [
@@ -178,7 +189,7 @@ def exit_risk_components(df: DataFrame) -> DataFrame:
     age, sat, over = F.col("age"), _dbl("satisfaction"), _dbl("overtime")
     pay, ill, ready = F.col("salary"), F.col("absence_days"), F.col("switching_readiness")
     usual = F.lit(40000.0) + (age - 25) * 600
-    progress = F.col("job_role_progression")
+    progress = progression_rank()
 
     def less(condition: Column, amount: float) -> Column:
         return F.when(condition, -amount).otherwise(ZERO)

@@ -59,11 +59,11 @@ def histogram_pct_by_status(spark, sf_dir):
 
 @query(
     "kde_grid",
-    on_panel("""SELECT i, round(x, 6) AS x, round(sum(w * exp(-5e-1 * ((x - v) / bw) * ((x - v) / bw)))
+    on_panel("""SELECT i, round(x, 6) AS x, round(sum(w * exp(-0.5e0 * ((x - v) / bw) * ((x - v) / bw)))
         / (any_value(n) * any_value(bw) * sqrt(2 * pi())), 6) AS density
       FROM (SELECT switching_readiness AS v, CAST(count(*) AS DOUBLE) AS w FROM panel GROUP BY 1),
         (SELECT i, lo - 3 * bw + i * ((hi - lo + 6 * bw) / 199) AS x, n, bw FROM
-          (SELECT CAST(count(*) AS DOUBLE) AS n, stddev_samp(switching_readiness) * pow(count(*), -2e-1) AS bw,
+          (SELECT CAST(count(*) AS DOUBLE) AS n, stddev_samp(switching_readiness) * pow(count(*), -0.2e0) AS bw,
              min(switching_readiness) AS lo, max(switching_readiness) AS hi FROM panel),
           (SELECT CAST(range AS INTEGER) AS i FROM range(200)))
       GROUP BY i, x"""),
@@ -91,9 +91,9 @@ BOXED = ["salary", "overtime", "satisfaction"]
     on_panel(union_all(
         """SELECT '{c}' AS variable, p.status AS exit_category, round(q1, 4) AS q1, round(median, 4) AS median,
              round(q3, 4) AS q3,
-             CAST(min({c}) FILTER ({c} >= q1 - 15e-1 * (q3 - q1) AND {c} <= q3 + 15e-1 * (q3 - q1)) AS DOUBLE) AS whisker_low,
-             CAST(max({c}) FILTER ({c} >= q1 - 15e-1 * (q3 - q1) AND {c} <= q3 + 15e-1 * (q3 - q1)) AS DOUBLE) AS whisker_high,
-             count(*) FILTER ({c} < q1 - 15e-1 * (q3 - q1) OR {c} > q3 + 15e-1 * (q3 - q1)) AS n_outliers
+             CAST(min({c}) FILTER ({c} >= q1 - 1.5e0 * (q3 - q1) AND {c} <= q3 + 1.5e0 * (q3 - q1)) AS DOUBLE) AS whisker_low,
+             CAST(max({c}) FILTER ({c} >= q1 - 1.5e0 * (q3 - q1) AND {c} <= q3 + 1.5e0 * (q3 - q1)) AS DOUBLE) AS whisker_high,
+             count(*) FILTER ({c} < q1 - 1.5e0 * (q3 - q1) OR {c} > q3 + 1.5e0 * (q3 - q1)) AS n_outliers
            FROM panel p JOIN (SELECT status, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1,
              quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3
              FROM panel GROUP BY status) q ON p.status = q.status GROUP BY p.status, q1, median, q3""", BOXED)),

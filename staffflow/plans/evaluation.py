@@ -22,7 +22,7 @@ METRICS = """SELECT model, tp, tn, fp, fn, round((tp + tn) / (tp + tn + fp + fn)
 RATES = ["accuracy", "precision", "recall", "f1", "mcc"]
 
 
-@query("confusion_matrix", on_scores("SELECT * FROM m", MATRIX.format(op=">=", t="5e-1")))
+@query("confusion_matrix", on_scores("SELECT * FROM m", MATRIX.format(op=">=", t="0.5e0")))
 def confusion_matrix(spark, sf_dir):
     return ops.confusion_matrix(scores(spark, sf_dir), ["model"])
 
@@ -32,8 +32,8 @@ def confusion_matrix(spark, sf_dir):
     on_scores(
         "SELECT 'from_half' AS rule, * FROM (" + METRICS.format(e="0e0") + ") UNION ALL SELECT 'above_0.9', * FROM ("
         + METRICS.format(e="1e0").replace("FROM m", "FROM m2") + ")",
-        MATRIX.format(op=">=", t="5e-1"),
-        MATRIX.format(op=">", t="9e-1").replace("m AS", "m2 AS", 1),
+        MATRIX.format(op=">=", t="0.5e0"),
+        MATRIX.format(op=">", t="0.9e0").replace("m AS", "m2 AS", 1),
     ),
 )
 def classification_metrics(spark, sf_dir):
@@ -45,7 +45,7 @@ def classification_metrics(spark, sf_dir):
 
 
 LOSS_SQL = """SELECT model, round(avg(CASE WHEN y = 1 THEN -ln(p) ELSE -ln(1 - p) END), 6) AS log_loss FROM (
-  SELECT model, y, least(greatest(score, 2220446049250313e-31), 1 - 2220446049250313e-31) AS p FROM scores) GROUP BY model"""
+  SELECT model, y, least(greatest(score, 2.220446049250313e-16), 1 - 2.220446049250313e-16) AS p FROM scores) GROUP BY model"""
 
 
 @query("log_loss", on_scores(LOSS_SQL))
@@ -91,8 +91,8 @@ def precision_recall_curve(spark, sf_dir):
 
 @query(
     "threshold_for_precision",
-    on_scores("""SELECT model, target, coalesce(min(score) FILTER (tp / (tp + fp) > target), 5e-1) AS threshold
-      FROM curve, (VALUES (6e-1), (33e-2)) t(target) GROUP BY model, target""", CURVE),
+    on_scores("""SELECT model, target, coalesce(min(score) FILTER (tp / (tp + fp) > target), 0.5e0) AS threshold
+      FROM curve, (VALUES (0.6e0), (0.33e0)) t(target) GROUP BY model, target""", CURVE),
 )
 def threshold_for_precision(spark, sf_dir):
     src = scores(spark, sf_dir)
@@ -107,15 +107,15 @@ FOLDS = """folded AS (SELECT *, CASE WHEN substr(md5(CAST(row_key AS VARCHAR)),
   AS fold FROM scores),
 accuracies AS (SELECT model, avg(CAST((score > {t}) = (y = 1) AS INTEGER)) FILTER (fold = 'train') AS train_accuracy,
   avg(CAST((score > {t}) = (y = 1) AS INTEGER)) FILTER (fold = 'test') AS test_accuracy FROM folded GROUP BY model),
-flags AS (SELECT model, train_accuracy - test_accuracy > 1e-1 AS overfit,
-  train_accuracy < 6e-1 AND test_accuracy < 6e-1 AS underfit FROM accuracies)"""
+flags AS (SELECT model, train_accuracy - test_accuracy > 0.1e0 AS overfit,
+  train_accuracy < 0.6e0 AND test_accuracy < 0.6e0 AS underfit FROM accuracies)"""
 
 
 def folded(spark, sf_dir):
     return hash_fold(scores(spark, sf_dir), ["row_key"], 0.8)
 
 
-@query("fit_flags", on_scores("SELECT * FROM flags", FOLDS.format(t="5e-1")))
+@query("fit_flags", on_scores("SELECT * FROM flags", FOLDS.format(t="0.5e0")))
 def fit_flags(spark, sf_dir):
     return ops.fit_flags(ops.train_test_accuracy(folded(spark, sf_dir)))
 
@@ -123,9 +123,9 @@ def fit_flags(spark, sf_dir):
 @query(
     "fit_gap_classes",
     on_scores("""SELECT model, round(train_accuracy, 9) AS train_accuracy, round(test_accuracy, 9) AS test_accuracy,
-      round(train_accuracy - test_accuracy, 9) AS gap, CASE WHEN train_accuracy - test_accuracy > 1e-1 THEN 'overfit'
-        WHEN train_accuracy - test_accuracy < -1e-1 THEN 'underfit' ELSE 'balanced' END AS fit FROM accuracies
-      ORDER BY gap DESC, model""", FOLDS.format(t="5e-1")),
+      round(train_accuracy - test_accuracy, 9) AS gap, CASE WHEN train_accuracy - test_accuracy > 0.1e0 THEN 'overfit'
+        WHEN train_accuracy - test_accuracy < -0.1e0 THEN 'underfit' ELSE 'balanced' END AS fit FROM accuracies
+      ORDER BY gap DESC, model""", FOLDS.format(t="0.5e0")),
 )
 def fit_gap_classes(spark, sf_dir):
     out = ops.fit_gap_classes(ops.train_test_accuracy(folded(spark, sf_dir)))
@@ -133,7 +133,7 @@ def fit_gap_classes(spark, sf_dir):
 
 
 # All models together, decided above 0.9 (most scores lie below, so accuracy is the base rate).
-BOARD = [FOLDS.format(t="9e-1"), CURVE, MATRIX.format(op=">", t="9e-1"),
+BOARD = [FOLDS.format(t="0.9e0"), CURVE, MATRIX.format(op=">", t="0.9e0"),
          f"metrics AS (SELECT * FROM ({METRICS.format(e='0e0')}) JOIN ({AUC_SQL}) USING (model) JOIN ({LOSS_SQL}) USING (model))"]
 BOARD_ROUND = {9: [*RATES, "roc_auc"], 6: ["log_loss"]}
 
@@ -174,7 +174,7 @@ def best_model(spark, sf_dir):
       n_positive, n_positive = 0 AS no_positives FROM (
         SELECT s.model, lo, hi, n_positive, CAST(least(floor((score - lo) / ((hi - lo) / 30)), 29) AS INTEGER) AS bin
         FROM scores s JOIN (SELECT model, min(score) AS lo, max(score) AS hi,
-          count(*) FILTER (score > 5e-1) AS n_positive FROM scores GROUP BY model) b ON s.model = b.model)
+          count(*) FILTER (score > 0.5e0) AS n_positive FROM scores GROUP BY model) b ON s.model = b.model)
       GROUP BY model, bin, lo, hi, n_positive"""),
 )
 def score_histogram(spark, sf_dir):

@@ -4,7 +4,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from staffflow.operators import preparation as ops
-from staffflow.operators.clean import sick_absence_only
 from staffflow.operators.distributions import rounded
 from staffflow.operators.oversampling import smote_balance
 from staffflow.operators.rules import exit_risk_components
@@ -20,10 +19,12 @@ HIGH_RISK = 0.9  # a row at or above this exit risk is labelled as leaving: abou
 # The features the reference trains on, as far as the tables hold them.
 MODEL_NUMERIC = [
     "year", "month", "age", "overtime", "absence_days", "salary", "satisfaction", "switching_readiness",
-    "training_costs", "job_role_progression", "tenure",
+    "training_costs", "tenure",
 ]
 MODEL_INPUTS = [f"x_{c}" for c in MODEL_NUMERIC]
-MODEL_CATEGORICAL = ["position", "gender", "location", "work_model", "children", "job_level"]
+MODEL_CATEGORICAL = [
+    "position", "gender", "location", "work_model", "married", "children", "job_role_progression", "job_level",
+]
 
 LABELLED_SQL = [
     STAFF_SQL,
@@ -32,26 +33,33 @@ LABELLED_SQL = [
 ]
 
 
-def labelled(spark, sf_dir):
-    """Rows of everyone not retired; the label is a high rule-based exit risk, which can be learned."""
+DELIVERED = [
+    *KEY, "name", "status", "absence_reason", *[c for c in MODEL_NUMERIC if c not in KEY], *MODEL_CATEGORICAL,
+]
+
+
+def delivered(spark, sf_dir):
+    """The raw rows an upload holds: everyone, all absence days with their reasons, mixed texts."""
     columns = [*RISK_COLUMNS, "gender", "location", "work_model", "children", "tenure", "absence_reason"]
-    rows = exit_risk_components(staff(spark, sf_dir, columns).filter(F.col("status") != "Retired"))
+    return staff(spark, sf_dir, columns)
+
+
+def labelled(spark, sf_dir):
+    """Raw rows of everyone not retired; the label is a high rule-based exit risk, which can be learned."""
+    rows = exit_risk_components(delivered(spark, sf_dir).filter(F.col("status") != "Retired"))
     label = (F.col("exit_risk") >= HIGH_RISK - 1e-9).cast("int")
-    return sick_absence_only(rows.withColumn("turnover", label)).select(
-        *KEY, "name", "status", *[c for c in MODEL_NUMERIC if c not in KEY], *MODEL_CATEGORICAL, "turnover"
-    )
+    return rows.select(*DELIVERED, label.alias("turnover"))
 
 
 def training_inputs(rows):
-    """Numeric model inputs as ``x_*`` doubles beside the keys, categories without nulls."""
-    doubles = rows.withColumns({f"x_{c}": F.col(c).cast("double") for c in MODEL_NUMERIC})
-    return ops.prepare_inputs(doubles, [], MODEL_CATEGORICAL)
+    """The one preparation of raw rows for training and for scoring."""
+    return ops.model_inputs(rows, MODEL_NUMERIC, MODEL_CATEGORICAL)
 
 
 def features(spark, sf_dir):
     """Labelled rows with the fitted feature vector as an array."""
     inputs = cut_lineage(training_inputs(labelled(spark, sf_dir)))
-    model = ops.feature_pipeline(MODEL_INPUTS, MODEL_CATEGORICAL).fit(inputs)
+    model = ops.fit_features(inputs, MODEL_INPUTS, MODEL_CATEGORICAL)
     out = model.transform(inputs)
     return cut_lineage(out.select(*KEY, "turnover", vector_to_array("features").alias("vector")))
 
@@ -89,13 +97,27 @@ def one_hot_drop_first(spark, sf_dir):
     return ops.one_hot_drop_first(panel(spark, sf_dir, [*KEY, *DUMMIES]), list(DUMMIES))
 
 
-@query("feature_pipeline")
+FEATURE_SQL = " UNION ALL ".join(
+    [f"SELECT '{c}' AS feature, 0e0 AS mean, CAST(stddev_pop({c}) > 0 AS INTEGER) * 1e0 AS std FROM ill" for c in MODEL_NUMERIC]
+    + [
+        f"""SELECT '{c}_' || v, round(n / total, 6), round(sqrt(n / total * (1 - n / total)), 6) FROM (
+        SELECT coalesce({c}, 'nan') AS v, count(*) * 1e0 AS n, sum(count(*)) OVER () AS total,
+          row_number() OVER (ORDER BY coalesce({c}, 'nan')) AS rn FROM ill GROUP BY 1) WHERE rn > 1"""
+        for c in MODEL_CATEGORICAL
+    ]
+)
+ILL_SQL = "ill AS (SELECT * REPLACE (CASE WHEN absence_reason = 'Illness' THEN absence_days ELSE 0 END AS absence_days) FROM labelled)"
+
+
+@query("feature_pipeline", on_panel(FEATURE_SQL, *LABELLED_SQL, ILL_SQL))
 def feature_pipeline(spark, sf_dir):
     """Mean and spread of every fitted feature over all rows."""
     inputs = training_inputs(labelled(spark, sf_dir))
-    model = ops.feature_pipeline(MODEL_INPUTS, MODEL_CATEGORICAL).fit(inputs)
+    model = ops.fit_features(inputs, MODEL_INPUTS, MODEL_CATEGORICAL)
     names = ops.feature_names(model, MODEL_NUMERIC, MODEL_CATEGORICAL)
-    return ops.feature_profile(model.transform(inputs), names)
+    profile = ops.feature_profile(model.transform(inputs), names)
+    # no negative zero
+    return profile.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in ("mean", "std")})
 
 
 @query(
@@ -121,7 +143,7 @@ def class_balance(spark, sf_dir):
     return ops.class_balance(labelled(spark, sf_dir), "turnover")
 
 
-SPLIT_SQL = """SELECT employee_id, year, month, turnover, CASE WHEN rn <= floor(n * 8e-1) THEN 'train' ELSE 'test' END AS fold
+SPLIT_SQL = """SELECT employee_id, year, month, turnover, CASE WHEN rn <= floor(n * 0.8e0) THEN 'train' ELSE 'test' END AS fold
   FROM (SELECT *, count(*) OVER (PARTITION BY turnover) AS n, row_number() OVER (PARTITION BY turnover
     ORDER BY md5(employee_id || '|' || year || '|' || month), employee_id, year, month) AS rn FROM labelled)"""
 

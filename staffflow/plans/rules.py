@@ -23,7 +23,7 @@ def cases(column: str, values: dict, default: str = "1e0") -> str:
 
 
 EXPECTED_SQL = f"""paid AS (SELECT *, 30000e0 * ({cases('position', ops.POSITION_FACTOR)})
-  * (1 + greatest(age - 25, 0) // 5 * 5e-2) * ({cases('education_level', ops.EDUCATION_FACTOR)})
+  * (1 + greatest(age - 25, 0) // 5 * 0.05e0) * ({cases('education_level', ops.EDUCATION_FACTOR)})
   * ({cases('work_model', ops.WORK_MODEL_FACTOR)}) AS expected_salary FROM staff)"""
 EXPECTED_COLUMNS = ["position", "age", "education_level", "work_model", "salary"]
 
@@ -55,7 +55,7 @@ def expected_salary_gap(spark, sf_dir):
 @query(
     "inflation_adjusted_salary",
     on_panel("""SELECT year, count(*) AS n_rows, round(avg(salary), 4) AS avg_salary,
-      round(avg(salary * pow(102e-2, greatest(year - year(hiring_date), 0))), 4) AS avg_adjusted_salary
+      round(avg(salary * pow(1.02e0, greatest(year - year(hiring_date), 0))), 4) AS avg_adjusted_salary
       FROM panel GROUP BY year"""),
 )
 def inflation_adjusted_salary(spark, sf_dir):
@@ -66,11 +66,11 @@ def inflation_adjusted_salary(spark, sf_dir):
 @query(
     "satisfaction_score",
     on_panel("""SELECT position, year, count(*) AS n_rows, round(avg(s), 6) AS avg_satisfaction_score FROM (
-      SELECT position, year, greatest(1e0, least(1e1, 7 + (workplace_flexibility - 5) * 5e-1
-        - 5e-1 * pow(greatest(overtime - 5, 0), 12e-1) + 2e-1 * (salary / 1000)
-        - CASE WHEN expected_salary > salary THEN 5e-2 * (expected_salary - salary) / 1000 ELSE 0 END
-        + (benefits - 5) * 5e-1 - 2e-1 * pow(absence_days, 11e-1)
-        + CASE WHEN age > 60 THEN -3e-1 WHEN age < 30 THEN 2e-1 ELSE 0 END)) AS s FROM paid)
+      SELECT position, year, greatest(1e0, least(1e1, 7 + (workplace_flexibility - 5) * 0.5e0
+        - 0.5e0 * pow(greatest(overtime - 5, 0), 1.2e0) + 0.2e0 * (salary / 1000)
+        - CASE WHEN expected_salary > salary THEN 0.05e0 * (expected_salary - salary) / 1000 ELSE 0 END
+        + (benefits - 5) * 0.5e0 - 0.2e0 * pow(absence_days, 1.1e0)
+        + CASE WHEN age > 60 THEN -0.3e0 WHEN age < 30 THEN 0.2e0 ELSE 0 END)) AS s FROM paid)
       GROUP BY position, year""", STAFF_SQL, EXPECTED_SQL),
 )
 def satisfaction_score(spark, sf_dir):
@@ -85,7 +85,7 @@ def satisfaction_score(spark, sf_dir):
     on_panel("""SELECT position, year, illness_days, count(*) AS n_rows FROM (
       SELECT position, year, CASE WHEN make_date(year, month, 1) - hiring_date <= 90 THEN least(d, 3) ELSE d END
         AS illness_days FROM (
-        SELECT *, CAST(trunc(greatest(0, least(40, (5 + age // 8) / 12 + 5e-1 * pow(10 - satisfaction, 2)
+        SELECT *, CAST(trunc(greatest(0, least(40, (5 + age // 8) / 12 + 0.5e0 * pow(10 - satisfaction, 2)
           + CASE WHEN work_model = 'Part-time' THEN -3 ELSE 0 END
           + CASE WHEN age > 55 THEN 4 WHEN age < 25 THEN -2 ELSE 0 END
           + CASE WHEN position IN ('Office Manager', 'Headquarters Manager', 'Department Head',
@@ -100,15 +100,15 @@ def illness_days_base(spark, sf_dir):
 @query(
     "switching_readiness_score",
     on_panel("""SELECT position, year, count(*) AS n_rows, round(avg(r), 9) AS avg_readiness_score FROM (
-      SELECT position, year, round_even(greatest(0e0, least(1e0, 3e-1
-        + CASE WHEN satisfaction <= 4 THEN (5 - satisfaction) * 8e-2 ELSE 0 END
-        + CASE WHEN overtime > 10 THEN (overtime - 10) * 5e-3 ELSE 0 END
-        + CASE WHEN salary < expected_salary * 8e-1 THEN 15e-2 WHEN salary >= expected_salary * 12e-1 THEN -12e-2 ELSE 0 END
-        + CASE WHEN workplace_flexibility >= 7 THEN (workplace_flexibility - 6) * -6e-2
-               WHEN workplace_flexibility <= 3 THEN (4 - workplace_flexibility) * 3e-2 ELSE 0 END
-        + CASE WHEN absence_days > 10 THEN (absence_days - 10) * 5e-3 ELSE 0 END
-        + (coalesce(stress, 5) - 5) * 3e-2 + (recognition - 5) * -5e-2 + (work_environment - 5) * -4e-2
-        + (future_opportunities - 5) * -5e-2 + (team_conflicts - 5) * 4e-2 + (boredom - 5) * 2e-2)) * 100, 0) / 100 AS r
+      SELECT position, year, round_even(greatest(0e0, least(1e0, 0.3e0
+        + CASE WHEN satisfaction <= 4 THEN (5 - satisfaction) * 0.08e0 ELSE 0 END
+        + CASE WHEN overtime > 10 THEN (overtime - 10) * 0.005e0 ELSE 0 END
+        + CASE WHEN salary < expected_salary * 0.8e0 THEN 0.15e0 WHEN salary >= expected_salary * 1.2e0 THEN -0.12e0 ELSE 0 END
+        + CASE WHEN workplace_flexibility >= 7 THEN (workplace_flexibility - 6) * -0.06e0
+               WHEN workplace_flexibility <= 3 THEN (4 - workplace_flexibility) * 0.03e0 ELSE 0 END
+        + CASE WHEN absence_days > 10 THEN (absence_days - 10) * 0.005e0 ELSE 0 END
+        + (coalesce(stress, 5) - 5) * 0.03e0 + (recognition - 5) * -0.05e0 + (work_environment - 5) * -0.04e0
+        + (future_opportunities - 5) * -0.05e0 + (team_conflicts - 5) * 0.04e0 + (boredom - 5) * 0.02e0)) * 100, 0) / 100 AS r
       FROM paid) GROUP BY position, year""", STAFF_SQL, EXPECTED_SQL),
 )
 def switching_readiness_score(spark, sf_dir):
@@ -118,27 +118,29 @@ def switching_readiness_score(spark, sf_dir):
 
 
 RISK_SQL = """risks AS (SELECT *, risk_retirement + termination_risk AS exit_risk FROM (
-  SELECT *, 1e-1 + risk_satisfaction + risk_overtime + risk_pay + risk_illness + risk_training + risk_team
+  SELECT *, 0.1e0 + risk_satisfaction + risk_overtime + risk_pay + risk_illness + risk_training + risk_team
     + risk_subordinates + risk_progression + risk_readiness AS termination_risk FROM (
   SELECT *,
-    CASE WHEN age BETWEEN 60 AND 65 THEN 3e-1 + CASE WHEN satisfaction > 6 THEN -1e-1 ELSE 0 END
+    CASE WHEN age BETWEEN 60 AND 65 THEN 0.3e0 + CASE WHEN satisfaction > 6 THEN -0.1e0 ELSE 0 END
       + CASE WHEN coalesce(TRY_CAST(job_level AS INTEGER), CASE job_level WHEN 'Entry Level' THEN 1
-          WHEN 'Mid Level' THEN 2 WHEN 'Senior Level' THEN 3 ELSE 4 END) >= 2 THEN -5e-2 ELSE 0 END
-      + CASE WHEN performance >= 4 THEN -1e-1 ELSE 0 END
-      WHEN age > 65 THEN 5e-1 ELSE 0e0 END AS risk_retirement,
-    CASE WHEN satisfaction <= 2 THEN 45e-2 WHEN satisfaction <= 5 THEN 2e-1
-      WHEN satisfaction >= 6 THEN (satisfaction - 5) * -8e-2 ELSE 0e0 END AS risk_satisfaction,
-    CASE WHEN overtime > 15 THEN (overtime - 15) * 1e-2 + 25e-2 WHEN overtime < 5 THEN -1e-1 ELSE 0e0 END AS risk_overtime,
-    CASE WHEN salary < (40000 + (age - 25) * 600) * 7e-1 THEN 3e-1
-      WHEN salary >= (40000 + (age - 25) * 600) * 13e-1 THEN -1e-1 ELSE 0e0 END AS risk_pay,
-    CASE WHEN absence_days > 20 THEN 15e-2 WHEN absence_days < 5 THEN -5e-2 ELSE 0e0 END AS risk_illness,
-    CASE WHEN training_costs > 2000 THEN -5e-2 ELSE 0e0 END AS risk_training,
+          WHEN 'Mid Level' THEN 2 WHEN 'Senior Level' THEN 3 ELSE 4 END) >= 2 THEN -0.05e0 ELSE 0 END
+      + CASE WHEN performance >= 4 THEN -0.1e0 ELSE 0 END
+      WHEN age > 65 THEN 0.5e0 ELSE 0e0 END AS risk_retirement,
+    CASE WHEN satisfaction <= 2 THEN 0.45e0 WHEN satisfaction <= 5 THEN 0.2e0
+      WHEN satisfaction >= 6 THEN (satisfaction - 5) * -0.08e0 ELSE 0e0 END AS risk_satisfaction,
+    CASE WHEN overtime > 15 THEN (overtime - 15) * 0.01e0 + 0.25e0 WHEN overtime < 5 THEN -0.1e0 ELSE 0e0 END AS risk_overtime,
+    CASE WHEN salary < (40000 + (age - 25) * 600) * 0.7e0 THEN 0.3e0
+      WHEN salary >= (40000 + (age - 25) * 600) * 1.3e0 THEN -0.1e0 ELSE 0e0 END AS risk_pay,
+    CASE WHEN absence_days > 20 THEN 0.15e0 WHEN absence_days < 5 THEN -0.05e0 ELSE 0e0 END AS risk_illness,
+    CASE WHEN training_costs > 2000 THEN -0.05e0 ELSE 0e0 END AS risk_training,
     CASE WHEN team_size > 15 AND position IN ('Department Head', 'Assistant Department Head', 'Office Manager')
-      THEN 1e-1 ELSE 0e0 END AS risk_team,
-    CASE WHEN number_of_subordinates > 5 THEN 5e-2 ELSE 0e0 END AS risk_subordinates,
-    CASE WHEN job_role_progression <= 3 THEN 2e-1 WHEN job_role_progression >= 7 THEN -1e-1 ELSE 0e0 END AS risk_progression,
-    CASE WHEN switching_readiness > 7e-1 THEN 2e-1 WHEN switching_readiness >= 4e-1 THEN 1e-1 ELSE -1e-1 END AS risk_readiness
-  FROM staff)))"""
+      THEN 0.1e0 ELSE 0e0 END AS risk_team,
+    CASE WHEN number_of_subordinates > 5 THEN 0.05e0 ELSE 0e0 END AS risk_subordinates,
+    CASE WHEN progress <= 3 THEN 0.2e0 WHEN progress >= 7 THEN -0.1e0 ELSE 0e0 END AS risk_progression,
+    CASE WHEN switching_readiness > 0.7e0 THEN 0.2e0 WHEN switching_readiness >= 0.4e0 THEN 0.1e0 ELSE -0.1e0 END AS risk_readiness
+  FROM (SELECT *, coalesce(TRY_CAST(job_role_progression AS INTEGER), CASE job_role_progression
+    WHEN 'Leave and Rejoin' THEN 2 WHEN 'No Change' THEN 4 WHEN 'Lateral Move' THEN 5 WHEN 'Promotion' THEN 8 END) AS progress
+    FROM staff))))"""
 RISK_SCORED_SQL = [
     STAFF_SQL,
     RISK_SQL,
@@ -175,10 +177,10 @@ def exit_risk_components(spark, sf_dir):
 @query(
     "exit_rule_flags",
     on_panel("""SELECT exit_rule, year, count(*) AS n_rows,
-        round(avg(CASE WHEN exit_rule = 'may_retire' THEN greatest(5e-2, (5 - satisfaction) * 5e-2) END), 9)
+        round(avg(CASE WHEN exit_rule = 'may_retire' THEN greatest(0.05e0, (5 - satisfaction) * 0.05e0) END), 9)
           AS avg_retirement_chance FROM (
       SELECT *, CASE WHEN age >= 67 THEN 'retire' WHEN age BETWEEN 60 AND 69 THEN 'may_retire'
-        WHEN switching_readiness > 7e-1 AND satisfaction < 4 THEN 'leave'
+        WHEN switching_readiness > 0.7e0 AND satisfaction < 4 THEN 'leave'
         WHEN year(hiring_date) < year - 5 AND satisfaction < 5 THEN 'may_leave' ELSE 'stay' END AS exit_rule FROM panel)
       GROUP BY exit_rule, year"""),
 )

@@ -1,5 +1,7 @@
 """Queries of the clustering family."""
 
+from pyspark.sql import functions as F
+
 from staffflow.operators import clustering as ops
 from staffflow.operators.distributions import rounded
 from staffflow.operators.preparation import standardise
@@ -33,10 +35,22 @@ def assigned(spark, sf_dir):
     return ops.assign_to_centroids(scaled, SCALED, centres)
 
 
-@query("kmeans_segments")
+def segments(spark, sf_dir):
+    return ops.kmeans_segments(panel(spark, sf_dir, [*KEY, *CLUSTER_FEATURES]), CLUSTER_FEATURES)
+
+
+@query(
+    "kmeans_segments",
+    on_panel("SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_not_nearest FROM panel"),
+)
 def kmeans_segments(spark, sf_dir):
-    out, _ = ops.kmeans_segments(panel(spark, sf_dir, [*KEY, *CLUSTER_FEATURES]), CLUSTER_FEATURES)
-    return out.select(*KEY, "cluster")
+    """Rows and clusters found, and how many rows are not with their nearest centre."""
+    out, centres = segments(spark, sf_dir)
+    scaled = [f"z_{c}" for c in CLUSTER_FEATURES]
+    gaps = [sum((F.col(c) - m) * (F.col(c) - m) for c, m in zip(scaled, centre)) for centre in centres]
+    own = F.element_at(F.array(*gaps), F.col("cluster").cast("int") + 1)
+    far = F.count(F.when(own > F.least(*gaps) + 1e-9, 1))
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cluster").alias("n_clusters"), far.alias("n_not_nearest"))
 
 
 @query("assign_to_centroids", on_panel("SELECT employee_id, year, month, cluster, round(gap, 6) AS gap FROM assigned", *SEGMENT_SQL))

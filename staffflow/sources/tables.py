@@ -245,7 +245,6 @@ _DERIVED = {
     "team_size": "5 + employee_id % 21",
     "number_of_subordinates": "employee_id % 8",
     "performance": "1 + (employee_id + year) % 5",
-    "job_role_progression": "employee_id % 11",
     "stress": "CASE WHEN month % 4 <> 0 THEN 1 + (employee_id + month) % 10 END",
     "recognition": "1 + (employee_id * 3 + month) % 10",
     "work_environment": "1 + (employee_id * 7 + month) % 10",
@@ -254,11 +253,19 @@ _DERIVED = {
     "boredom": "1 + (employee_id * 13 + month) % 10",
 }
 
+# job role progression is mixed, words and digits, as delivered
+_DERIVED_TEXT = {
+    "job_role_progression": "CASE employee_id % 15 WHEN 11 THEN 'Promotion' WHEN 12 THEN 'Lateral Move' "
+    "WHEN 13 THEN 'No Change' WHEN 14 THEN 'Leave and Rejoin' ELSE CAST(employee_id % 11 AS STRING) END",
+    "married": "CASE WHEN employee_id % 3 = 0 THEN 'Yes' ELSE 'No' END",
+}
+
 
 def staff_inputs(df: DataFrame) -> DataFrame:
     title = F.create_map(*[F.lit(x) for pair in TITLES.items() for x in pair])
     out = df.withColumn("position", F.coalesce(F.try_element_at(title, F.col("position")), F.lit("Unlisted")))
-    return out.withColumns({name: F.expr(text).cast("int") for name, text in _DERIVED.items()})
+    numbers = {name: F.expr(text).cast("int") for name, text in _DERIVED.items()}
+    return out.withColumns(numbers | {name: F.expr(text) for name, text in _DERIVED_TEXT.items()})
 
 
 STAFF_SQL = (
@@ -266,5 +273,7 @@ STAFF_SQL = (
     + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TITLES.items())
     + " ELSE 'Unlisted' END AS position), "
     + ", ".join(f"CAST({text} AS INTEGER) AS {name}" for name, text in _DERIVED.items())
+    + ", "
+    + ", ".join(f"{text} AS {name}" for name, text in _DERIVED_TEXT.items())
     + " FROM panel)"
 )

@@ -5,9 +5,13 @@ from pyspark.sql import functions as F
 from staffflow.functions.neighbours import nearest_neighbours
 from staffflow.operators import learning, preparation
 from staffflow.operators.oversampling import smote_balance
+from staffflow.operators.rules import progression_rank
 from staffflow.plans import load_all
 from staffflow.plans import learning as plans
-from staffflow.plans.preparation import KEY
+from staffflow.plans.live import streamed_scores
+from staffflow.plans.preparation import KEY, labelled, training_inputs
+from staffflow.session import new_path
+from staffflow.sources import files
 
 REGISTRY = load_all()
 
@@ -80,7 +84,7 @@ def test_split_shares_are_exact_per_class(spark):
 
 
 def test_logistic_ranks_well_and_scores_are_probabilities(spark, sf_dir):
-    row = REGISTRY["train_logistic"].build(spark, sf_dir).first()
+    row = plans.evaluated(spark, sf_dir, "logistic_regression").first()
     assert row["roc_auc"] > 0.8
     bounds = plans.data(spark, sf_dir).train.groupBy("turnover").count().collect()
     assert len({r["count"] for r in bounds}) == 1  # balanced
@@ -101,9 +105,30 @@ def test_one_failing_model_does_not_stop_the_rest(spark, sf_dir):
 
 
 def test_upload_and_stream_score_alike(spark, sf_dir):
-    ranked = REGISTRY["upload_score"].build(spark, sf_dir).collect()
-    streamed = REGISTRY["stream_upload_score"].build(spark, sf_dir)
+    ranked = plans.ranked_upload(spark, sf_dir).collect()
+    streamed = streamed_scores(spark, sf_dir)
     assert streamed.count() == streamed.select(*KEY).distinct().count()
     stored = {(r["employee_id"], r["year"], r["month"]): r["churn_probability"] for r in streamed.collect()}
     for r in ranked:
         assert stored[r["employee_id"], r["year"], r["month"]] == pytest.approx(r["churn_probability"], abs=1e-9)
+
+
+def test_training_and_upload_prepare_the_same_features(spark, sf_dir):
+    """The raw panel, retired staff and all absence days included, gives the training inputs after a round trip."""
+    folder = new_path(spark, "raw")
+    plans.write_upload(spark, sf_dir, folder)
+    raw = files.scan_panel_csv(spark, folder)
+    assert raw.filter("status = 'Retired'").count() > 0
+    assert raw.filter("absence_reason <> 'Illness' and absence_days > 0").count() > 0
+    assert raw.filter(F.col("job_role_progression") == "Lateral Move").count() > 0
+    columns = [*KEY, *plans.MODEL_INPUTS, *plans.MODEL_CATEGORICAL]
+    before = training_inputs(labelled(spark, sf_dir)).select(*columns)
+    after = training_inputs(raw).select(*columns)
+    assert before.count() == after.count()
+    assert before.exceptAll(after).isEmpty()
+
+
+def test_mixed_progression_is_ranked(spark):
+    rows = [("Lateral Move", 5), ("7", 7), ("Promotion", 8), ("?", None), (None, None)]
+    df = spark.createDataFrame(rows, "job_role_progression string, want int")
+    assert all(r["got"] == r["want"] for r in df.withColumn("got", progression_rank()).collect())
