@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staffflow.functions.ordered import join_groups, quantiles
@@ -100,8 +100,8 @@ def histogram_pct_by_status(df: DataFrame, column: str, width: float) -> DataFra
 def kde_grid(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian density on a grid of ``points`` with Scott's bandwidth.
 
-    Equal values share one kernel; every kernel adds to the grid points by a
-    map-side combined sum, so the shuffle carries ``points`` rows per task.
+    Equal values share one kernel; the grid points are sums of one aggregate, so the shuffle
+    carries one row per task.
     """
     clean = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     n = F.col("n").cast("double")
@@ -113,13 +113,19 @@ def kde_grid(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) ->
     cells = weights.crossJoin(F.broadcast(shape))  # one row
     start = F.col("lo") - cut * F.col("bw")
     step = (F.col("hi") - F.col("lo") + 2 * cut * F.col("bw")) / (points - 1)
-    grid = cells.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"), start.alias("start"), step.alias("step")
-    )
-    x = F.col("start") + F.col("i") * F.col("step")
-    z = (x - F.col("v")) / F.col("bw")
-    height = F.col("w") * F.exp(F.lit(-0.5) * z * z) / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))
-    return grid.groupBy("i", x.alias("x")).agg(F.sum(height).alias("density"))
+    cells = cells.select("*", start.alias("start"), step.alias("step"))
+    scale = F.col("w") / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))
+
+    def height(i: int) -> Column:
+        z = (F.col("start") + i * F.col("step") - F.col("v")) / F.col("bw")
+        return scale * F.exp(F.lit(-0.5) * z * z)
+
+    sums = cells.agg(
+        F.array(*[F.sum(height(i)) for i in range(points)]).alias("d"),
+        F.first("start").alias("start"), F.first("step").alias("step"),
+    )
+    grid = sums.filter(F.col("start").isNotNull()).select("start", "step", F.posexplode("d").alias("i", "density"))
+    return grid.select("i", (F.col("start") + F.col("i") * F.col("step")).alias("x"), "density")
 
 
 def correlation_long(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -154,7 +160,7 @@ def box_stats(df: DataFrame, columns: list[str], category: str = "exit_category"
     boxes = quantiles(long, keys, "value", QUARTILES)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    marked = join_groups(counts, boxes, keys).withColumn(
+    marked = join_groups(counts, F.broadcast(boxes), keys).withColumn(
         "inside", (F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach)
     )
     return marked.groupBy(*keys, "q1", "median", "q3").agg(

@@ -203,7 +203,7 @@ def score_histogram(scored: DataFrame, by: list[str], bins: int = 30, threshold:
     width = (F.col("hi") - F.col("lo")) / bins
     index = F.least(F.floor((F.col("score") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
     return (
-        scored.join(spans, by)
+        scored.join(F.broadcast(spans), by)  # one row per group: the scores stay where they are
         .groupBy(*by, "lo", "hi", "n_positive", index.alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
         .select(

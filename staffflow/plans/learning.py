@@ -33,6 +33,11 @@ _SETS: dict[tuple[str, str], ops.TrainingSet] = {}
 _MODELS: dict[tuple[str, str, str], object] = {}
 
 
+def forget() -> None:
+    """Drop the models kept for the session; the training set stays."""
+    _MODELS.clear()
+
+
 def _session(spark, sf_dir):
     """Session, folder and the state of the tables the panel is built from: new data gives new models."""
     listed = [f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "customer", "nation", "region")]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -21,6 +23,15 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int) -> dict[str, str]:
+    """Settings for a cluster that reads so many bytes: SCALE_CONF, and shuffles of about 128 MB a task.
+
+    AQE only merges partitions, so their first number has to follow the input.
+    """
+    first = max(200, -(-input_bytes // (128 << 20)))
+    return SCALE_CONF | {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(first)}
+
+
 def local_session(cores: int | str = 8, app: str = "staffflow") -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     builder = (
@@ -30,7 +41,7 @@ def local_session(cores: int | str = 8, app: str = "staffflow") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("STAFFFLOW_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(cores))
     )
     for key, value in SCALE_CONF.items():
@@ -51,6 +62,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="staffflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
