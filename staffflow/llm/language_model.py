@@ -34,7 +34,7 @@ HEAD = 1 << 16
 UNITS, CLASSES = 1024, 64
 DIM = 16
 NOISE, BATCH, RATE = 32, 4096, 0.15
-#: Documents of the first fit at most, and its passes over them.
+#: Documents of the first fit, about, and its passes over them.
 SAMPLE, PASSES = 1_000, 4
 END = b""
 
@@ -292,7 +292,10 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> Parameters:
             return held()[0]
         return Parameters.of_rows(np.stack([found.column(f"s{k}").to_numpy() for k in range(DIM + 1)], axis=1))
 
-    sample = docs.select("text").orderBy(F.xxhash64("text")).limit(SAMPLE).coalesce(1)
+    # about SAMPLE documents by hash; there is one end for each
+    share = min(1.0, SAMPLE / max(1, int(vocabulary.counts[vocabulary.words.index(END)])))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    sample = docs.filter(draw < int(share * (1 << 30))).repartition(1)
     first = passed(sample, sent(spark, (start, vocabulary, unit_of, counts)), PASSES, RATE)
     return passed(docs, sent(spark, (first, vocabulary, unit_of, counts)), 1, RATE / 3)
 
@@ -321,7 +324,7 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     counts as empty text. Without training rows both scores are those of one unseen word.
     """
     held_out = id_remainder(F.col("doc_id"), 7) == 2
-    learn = docs.filter(~held_out).select("text")
+    learn = docs.filter(~held_out).select("doc_id", "text")
     counts = stored(word_counts(learn))
     words = vocabulary_of(counts)
     if words is None:
