@@ -471,6 +471,51 @@ def test_planted_passages_are_found(spark, small):
     assert not got - want - own
 
 
+def planted_by_length(spark, lengths=(8, 12, 17, 20, 24, 32, 40, 48), each=12, size=600):
+    """Items in long texts of frequent words, word for word and with every third word changed: (texts, items, wanted)."""
+    rng = np.random.default_rng(9)
+    share = 1 / np.arange(1, 4_001)
+    share /= share.sum()
+    texts, items, want = [], [], {}
+    for length in lengths:
+        for k in range(each):
+            item = [f"v{w}" for w in rng.choice(4_000, length, p=share)]
+            items.append((len(items), " ".join(item)))
+            for kind, passage in (("verbatim", " ".join(item)), ("paraphrased", paraphrased(" ".join(item), 3))):
+                around = [f"v{w}" for w in rng.choice(4_000, size, p=share)]
+                at = int(rng.integers(0, size))
+                want.setdefault((kind, length), set()).add((len(texts), items[-1][0]))
+                texts.append((len(texts), " ".join([*around[:at], passage, *around[at:]])))
+    return spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), want
+
+
+def test_planted_passages_of_every_length_are_found(spark):
+    docs, benchmark, want = planted_by_length(spark)
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, benchmark).collect()}
+    recall = {case: len(pairs & got) / len(pairs) for case, pairs in want.items()}
+    assert min(recall.values()) == 1, recall
+
+
+def test_counted_words_lose_no_window_the_check_accepts():
+    rng = np.random.default_rng(4)
+    share = 1 / np.arange(1, 301)
+    frequency = np.zeros(decontamination.TERMS, np.int64)
+    frequency[1:301] = 1_000 * share
+    parts = [rng.choice(np.arange(1, 301), n, p=share / share.sum()).tolist() for n in (1, 2, 3, 7, 17, 24, 30, 48)]
+    widths = np.array([-(-len(p) // decontamination.BLOCK) + 1 for p in parts])
+    counted = decontamination.Counted.of(parts, frequency)
+    index = decontamination.Index(None, None, None, [], parts, [], widths, counted)
+    texts = [rng.choice(np.arange(1, 301), n, p=share / share.sum()).astype(np.int32) for n in (0, 5, 40, 300, 0, 90)]
+    for k, (numbers, found) in enumerate(zip(texts, decontamination._worded(texts, index), strict=True)):
+        found = set(zip(*(x.tolist() for x in found), strict=True))
+        blocks = -(-len(numbers) // 16)
+        for part, (width, words_of) in enumerate(zip(widths.tolist(), parts, strict=True)):
+            for w in range(max(1, blocks - width + 1) if blocks else 0):
+                region = numbers[max(0, w - 1) * 16 : (w + width + 1) * 16].tolist()
+                if decontamination.common_length(words_of, region) / len(words_of) >= decontamination.PARAPHRASE:
+                    assert (w, part) in found, (k, w, part)
+
+
 def test_decontamination_on_awkward_rows(spark, awkward, empty):
     odd = spark.createDataFrame([(1, None), (None, "a b c"), (2, ""), (3, LONG), (3, LONG), (4, "... !")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(awkward, odd).collect()}
