@@ -4,7 +4,11 @@ A document is its set of distinct five-word shingles. Documents with one and the
 one class. One hash function deals a set's shingles to ``BINS`` bins and keeps the least hash of
 each; an empty bin borrows from a full one chosen by a fixed random sequence (optimal
 densification). ``BANDS`` bands of ``ROWS`` bins give buckets: a pair at similarity 0.75 misses
-all of them with probability (1 - 0.75^4)^32 < 6e-6.
+all of them with probability (1 - 0.75^4)^32 < 6e-6 if its bins are independent. In a small set
+they are not, as one shingle fills many bins, so a set of at most ``SMALL`` shingles is also in
+the buckets of its least shingles, as many as it takes that two similar sets share one: no pair
+is missed there. Signatures are compared before the sets only where both sets have ``SURE``
+shingles or more.
 
 A bucket proposes a star, its smallest member with every other one, not all pairs. A proposal is
 confirmed on the full shingle sets. A star only proves links through its hub, so buckets whose
@@ -30,8 +34,10 @@ SHINGLE = 5
 BINS, BANDS = 128, 32
 ROWS = BINS // BANDS
 PERCENT = 75
-#: Of BINS, how many must agree before sets are fetched: 0.75 less five standard deviations.
-AGREE = 71
+#: Of BINS, how many must agree before sets are fetched: 0.75 less five standard deviations. Smaller sets are fetched at once.
+AGREE, SURE = 71, 2 * BINS
+#: Shingles of a set that has buckets of its least shingles too.
+SMALL = 32
 #: Members, and shingles, of a block of a bucket that is compared inside one task.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 4_096, 300_000
 FILTER_BITS = 1 << 26
@@ -88,39 +94,51 @@ def band_hashes(least: np.ndarray) -> np.ndarray:
     return mixed.view(np.int64)
 
 
+def least_shingles(hashes: np.ndarray) -> np.ndarray:
+    """Shingles of which a small set shares one with every small set at the similarity; none of a larger set.
+
+    A set shares at least PERCENT of its shingles with a similar one, so the least of the shared
+    ones is among this many least of each.
+    """
+    n = len(hashes)
+    return hashes[: n - -(-PERCENT * n // 100) + 1 if n <= SMALL else 0].view(np.int64)
+
+
 def class_key(hashes: np.ndarray) -> bytes:
     return blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, keys, bands, marks = [], [], [], []
+        sizes, keys, bands, firsts, marks = [], [], [], [], []
         for text in bytes_of(batch):
             hashes = shingle_set(text)
             sizes.append(len(hashes))
             if len(hashes) == 0:
-                keys.append(None), bands.append(None), marks.append(None)
+                keys.append(None), bands.append(None), firsts.append(None), marks.append(None)
                 continue
             least = signature(hashes)
             keys.append(class_key(hashes))
             bands.append(band_hashes(least))
+            firsts.append(least_shingles(hashes))
             marks.append((least & np.uint64(255)).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row_id"), batch.column("doc_id"), pa.array(sizes, pa.int64()),
-                pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary()),
+                pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(firsts, pa.list_(pa.int64())),
+                pa.array(marks, pa.binary()),
             ],
-            ["row_id", "doc_id", "n_shingles", "class", "bands", "marks"],
+            ["row_id", "doc_id", "n_shingles", "class", "bands", "firsts", "marks"],
         )
 
 
 def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures agree in at least AGREE bins (one byte of each is compared)."""
+    """Pairs with a small set, or whose signatures agree in at least AGREE bins (one byte of each is compared)."""
     for batch in batches:
         left, right = (
             np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("marks_a", "marks_b")
         )
-        keep = pa.array((left == right).sum(axis=1) >= AGREE)
+        keep = pa.array(((left == right).sum(axis=1) >= AGREE) | (batch.column("n").to_numpy() < SURE))
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
@@ -244,12 +262,13 @@ def near_duplicates(docs: DataFrame, number: str | None = None) -> DataFrame:
     rows = stored(
         map_batches(
             source, _sketch,
-            f"row_id long, doc_id {kind}, n_shingles long, class binary, bands array<long>, marks binary",
+            f"row_id long, doc_id {kind}, n_shingles long, class binary, bands array<long>, firsts array<long>, marks binary",
         )
     )
     full = rows.filter("n_shingles > 0")
     classes = full.groupBy("class").agg(
-        F.max("n_shingles").alias("n"), F.any_value("bands").alias("bands"), F.any_value("marks").alias("marks")
+        F.max("n_shingles").alias("n"), F.any_value("bands").alias("bands"), F.any_value("firsts").alias("firsts"),
+        F.any_value("marks").alias("marks"),
     )
     classes = stored(classes)
     placed = rows.select("row_id", "doc_id", "n_shingles", "class")
@@ -269,7 +288,7 @@ def near_duplicates(docs: DataFrame, number: str | None = None) -> DataFrame:
 
 def _linked(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     """(class, component) of every class with a confirmed link; None without any candidate."""
-    banded = classes.select("class", "n", F.explode("bands").alias("band"))
+    banded = classes.select("class", "n", F.explode(F.concat("bands", "firsts")).alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.min("class").alias("hub")).filter("members > 1")
     buckets = stored(banded.join(shared, "band").select("band", "class", "n", "hub"))
     marks = classes.select("class", "n", "marks")
@@ -290,7 +309,8 @@ def _promising(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     left = marks.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("marks").alias("marks_a"))
     right = marks.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("marks").alias("marks_b"))
     near = pairs.join(left, "a").join(right, "b").filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-    return map_batches(near.select("a", "b", "marks_a", "marks_b"), _agreement, "a binary, b binary")
+    least = F.least("n_a", "n_b").alias("n")
+    return map_batches(near.select("a", "b", least, "marks_a", "marks_b"), _agreement, "a binary, b binary")
 
 
 def _residual(docs: DataFrame, buckets: DataFrame, classes: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
@@ -354,7 +374,7 @@ def _outside_first(components_of: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _allowed_members(rows: pa.Table) -> pa.RecordBatch:
     """Members with a partner in another component whose signature allows a link.
 
-    A pair that shares several buckets is looked at in the first of them only.
+    A pair that shares several bands is looked at in the bucket of the first of them, and in those of least shingles.
     """
     keys = rows.column("class").to_pylist()
     number, outside = _outside_first(rows.column("component").to_pylist())
@@ -362,13 +382,14 @@ def _allowed_members(rows: pa.Table) -> pa.RecordBatch:
     marks = np.frombuffer(b"".join(rows.column("marks").to_pylist()), np.uint8).reshape(-1, BINS)
     bands = np.array(rows.column("bands").to_pylist(), np.int64)
     band = rows.column("band")[0].as_py()
-    place = int(np.flatnonzero(bands[0] == band)[0])
+    place = int(np.argmax(bands[0] == band))
     hit = np.zeros(len(keys), bool)
     for at in range(0, len(outside), 32):
         these = outside[at : at + 32]
         fits = (number[these, None] != number) & (100 * np.minimum(sizes[these, None], sizes) >= PERCENT * np.maximum(sizes[these, None], sizes))
         i, j = np.nonzero(fits)
         near = (marks[these[i]] == marks[j]).sum(axis=1) >= AGREE
+        near |= np.minimum(sizes[these[i]], sizes[j]) < SURE
         i, j = i[near], j[near]
         if place and len(i):
             new = ~(bands[these[i], :place] == bands[j, :place]).any(axis=1)

@@ -186,6 +186,28 @@ def test_links_without_the_hub_are_found(spark):
     assert len({r.component_id for r in found}) == 2
 
 
+def test_small_sets_are_not_lost_to_their_signatures(spark):
+    """Texts of eight words and their first seven, three shingles of four: signatures and bands misjudge some."""
+    rows = []
+    for k in (59, 9309, 5572, *range(100, 140)):
+        w = [f"w{k}x{i}" for i in range(8)]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w[:7]))]
+    # a common shingle, in a bucket of many, and chains that its hub cannot show
+    rows += [(100_000 + k, " ".join([f"c{i}" for i in range(5)] + [f"d{k // 4}_{i}" for i in range(12 + k % 4)])) for k in range(80)]
+    found = check_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sum(r.kept for r in found if r.doc_id < 100_000) == 43
+
+
+def test_least_shingles_of_similar_sets_meet():
+    rng = np.random.default_rng(6)
+    for n in range(1, near_duplicates.SMALL + 1):
+        for _ in range(30):
+            gone = n // 4
+            a = np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+            b = np.sort(rng.permutation(a)[gone:])
+            assert np.intersect1d(near_duplicates.least_shingles(a), near_duplicates.least_shingles(b)).size
+
+
 def test_one_of_each_keeps_the_columns(awkward, empty):
     kept = near_duplicates.one_of_each(awkward)
     assert kept.columns == awkward.columns
