@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from staffflow.llm.chunks import vocabulary
 from staffflow.llm.common import read
 from staffflow.llm.decontamination import contaminated
+from staffflow.llm.hard_negatives import HARD_SQL, mined
 from staffflow.llm.language_model import language_model_scores
 from staffflow.llm.mixing import MIX_SQL, mix
 from staffflow.llm.near_duplicates import near_duplicates
@@ -82,3 +83,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_language_model_scores")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model_scores(read(spark, sf_dir, "documents"))
+
+
+@query("op11_hard_negatives", HARD_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mined(read(spark, sf_dir, "embeddings"))
