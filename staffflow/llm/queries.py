@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from staffflow.llm.alignment import alignment
 from staffflow.llm.chunks import vocabulary
 from staffflow.llm.common import read
 from staffflow.llm.decontamination import contaminated
 from staffflow.llm.hard_negatives import HARD_SQL, mined
+from staffflow.llm.language_id import languages
 from staffflow.llm.language_model import language_model_scores
 from staffflow.llm.mixing import MIX_SQL, mix
 from staffflow.llm.near_duplicates import near_duplicates
@@ -88,3 +90,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_hard_negatives", HARD_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mined(read(spark, sf_dir, "embeddings"))
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op13_language_id")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
