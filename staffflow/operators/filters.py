@@ -19,15 +19,23 @@ def filter_status_in(df: DataFrame, statuses: list[str]) -> DataFrame:
     return df.filter(F.col("status").isin(statuses))
 
 
-def latest_period_snapshot(df: DataFrame, label: str = "turnover", as_of: tuple[int, int] | None = None) -> DataFrame:
+def latest_period_snapshot(
+    df: DataFrame, label: str = "turnover", as_of: tuple[int, int] | None = None, full_share: float = 0.0
+) -> DataFrame:
     """Rows of the last month of the last year whose label is 0.
 
-    With ``as_of``, a (year, month), later months are not looked at. The period is a scalar
-    subquery: it runs first and its value prunes the (year, month) partitions of a stored panel.
+    With ``as_of``, a (year, month), later months are not looked at. A month with less than
+    ``full_share`` of the rows of the median month counts as not delivered yet. The period is a
+    scalar subquery: it runs first and its value prunes the (year, month) partitions of a stored
+    panel.
     """
     known = df
     if as_of is not None:
         known = df.filter(F.struct("year", "month") <= F.struct(F.lit(as_of[0]).alias("year"), F.lit(as_of[1]).alias("month")))
+    if full_share > 0:
+        months = known.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
+        usual = months.agg(F.median("n").alias("n")).select("n").scalar()
+        known = months.filter(F.col("n") >= F.lit(float(full_share)) * usual)
     last = known.agg(F.max(F.struct("year", "month")).alias("p"))
     year = last.select("p.year").scalar()
     month = last.select("p.month").scalar()

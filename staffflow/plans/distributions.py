@@ -59,15 +59,18 @@ def histogram_pct_by_status(spark, sf_dir):
 
 @query(
     "kde_grid",
-    on_panel("""SELECT i, round(x, 6) AS x, round(sum(w * exp(-0.5e0 * ((x - v) / bw) * ((x - v) / bw)))
+    on_panel(f"""SELECT i, round(x, 6) AS x, round(sum(w * exp(-0.5e0 * ((x - v) / bw) * ((x - v) / bw)))
         / (any_value(n) * any_value(bw) * sqrt(2 * pi())), 6) AS density
-      FROM (SELECT switching_readiness AS v, CAST(count(*) AS DOUBLE) AS w FROM panel GROUP BY 1),
-        (SELECT i, lo - 3 * bw + i * ((hi - lo + 6 * bw) / 199) AS x, n, bw FROM
-          (SELECT CAST(count(*) AS DOUBLE) AS n, stddev_samp(switching_readiness) * pow(count(*), -0.2e0) AS bw,
-             min(switching_readiness) AS lo, max(switching_readiness) AS hi FROM panel),
-          (SELECT CAST(range AS INTEGER) AS i FROM range(200)))
-      GROUP BY i, x"""),
-)
+      FROM (SELECT cell, any_value(start) + cell * (any_value(width) / {ops.FINE}) AS v, sum(w) AS w FROM
+          (SELECT floor(place) AS cell, 1 - (place - floor(place)) AS w, start, width FROM places
+           UNION ALL SELECT floor(place) + 1, place - floor(place), start, width FROM places) GROUP BY cell),
+        (SELECT CAST(range AS INTEGER) AS i, start + range * (width / 199) AS x, n, bw FROM shape, range(200))
+      GROUP BY i, x""",
+      """shape AS (SELECT *, lo - 3 * bw AS start, hi - lo + 6 * bw AS width FROM
+        (SELECT CAST(count(*) AS DOUBLE) AS n, stddev_samp(switching_readiness) * pow(count(*), -0.2e0) AS bw,
+           min(switching_readiness) AS lo, max(switching_readiness) AS hi FROM panel))""",
+      f"places AS (SELECT (switching_readiness - start) / width * {ops.FINE} AS place, start, width FROM panel, shape)"),
+)
 def kde_grid(spark, sf_dir):
     return ops.rounded(ops.kde_grid(panel(spark, sf_dir, ["switching_readiness"]), "switching_readiness"), 6, ["x", "density"])
 

@@ -3,7 +3,7 @@
 from staffflow.operators import filters
 from staffflow.operators.clean import label_turnover
 from staffflow.plans.registry import query
-from staffflow.sources.tables import AS_OF, UP_TO_NOW, on_panel, on_scores, panel, scores
+from staffflow.sources.tables import FULL_SHARE, now_sql, on_panel, on_scores, panel, scores
 
 KEY = ["employee_id", "year", "month"]
 
@@ -35,11 +35,11 @@ def filter_status_in(spark, sf_dir):
 @query(
     "latest_period_snapshot",
     on_panel(f"""SELECT employee_id, name, year, month, salary, CAST(0 AS INTEGER) AS turnover FROM panel
-      WHERE year * 12 + month = (SELECT max(year * 12 + month) FROM panel WHERE {UP_TO_NOW}) AND status <> 'Left'"""),
+      WHERE year * 12 + month = {now_sql("panel")} AND status <> 'Left'"""),
 )
 def latest_period_snapshot(spark, sf_dir):
     src = label_turnover(panel(spark, sf_dir, [*KEY, "name", "salary", "status"])).drop("status")
-    return filters.latest_period_snapshot(src, as_of=AS_OF)
+    return filters.latest_period_snapshot(src, full_share=FULL_SHARE)
 
 
 @query("score_above_threshold", on_scores("SELECT row_key, model, y, score FROM scores WHERE score > 0.5"))

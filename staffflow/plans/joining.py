@@ -7,7 +7,7 @@ from staffflow.operators.filters import latest_period_snapshot
 from staffflow.operators.ranking import top_per_model
 from staffflow.operators.rules import POSITION_FACTOR, SALARY_GROUP
 from staffflow.plans.registry import query
-from staffflow.sources.tables import AS_OF, STAFF_SQL, UP_TO_NOW, on_panel, panel, staff_inputs
+from staffflow.sources.tables import FULL_SHARE, STAFF_SQL, now_sql, on_panel, panel, staff_inputs
 
 MODELS = ["price", "lines", "disc"]
 SCORE_COLUMNS = ["employee_id", "name", "year", "month", "status", "salary", "overtime", "switching_readiness"]
@@ -22,7 +22,7 @@ scored AS (
   UNION ALL SELECT * EXCLUDE (price, lines, disc), 'lines', lines * 100 FROM wide_scores
   UNION ALL SELECT * EXCLUDE (price, lines, disc), 'disc', disc * 100 FROM wide_scores),
 latest AS (SELECT * FROM scored WHERE turnover = 0
-  AND year * 12 + month = (SELECT max(year * 12 + month) FROM scored WHERE {UP_TO_NOW})),
+  AND year * 12 + month = {now_sql("scored")}),
 tops AS (SELECT * FROM latest WHERE churn_probability > 0
   QUALIFY row_number() OVER (PARTITION BY model ORDER BY churn_probability DESC, employee_id) <= 15)"""
 
@@ -42,7 +42,7 @@ def scored_panel(spark, sf_dir):
 
 
 def top_lists(spark, sf_dir):
-    return top_per_model(latest_period_snapshot(scored_panel(spark, sf_dir), as_of=AS_OF))
+    return top_per_model(latest_period_snapshot(scored_panel(spark, sf_dir), full_share=FULL_SHARE))
 
 
 COMPARE_SQL = """SELECT coalesce(p.name, l.name, d.name) AS name,

@@ -4,9 +4,9 @@ The training set and the fitted models of one input folder are kept for the
 session, as a saved model would be: several queries look at the same models.
 """
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from staffflow.operators import artefacts
 from staffflow.operators import learning as ops
 from staffflow.operators.clean import clean_panel, label_turnover
 from staffflow.operators.filters import filter_year_range, latest_period_snapshot
@@ -25,9 +25,7 @@ from staffflow.plans.preparation import (
 from staffflow.plans.registry import query
 from staffflow.session import cut_lineage, new_path
 from staffflow.sources import files
-from staffflow.sources.tables import AS_OF, UP_TO_NOW, on_panel
-
-YEARS = (1990, 2030)  # rows of other years are taken for typing errors
+from staffflow.sources.tables import FULL_SHARE, now_sql, on_panel
 
 _SETS: dict[tuple[str, str], ops.TrainingSet] = {}
 _MODELS: dict[tuple[str, str, str], object] = {}
@@ -61,7 +59,7 @@ def model(spark, sf_dir, name: str):
 
 
 def artefact(spark, sf_dir, name: str = "logistic_regression"):
-    return ops.as_artefact(data(spark, sf_dir).encoder, model(spark, sf_dir, name))
+    return ops.as_artefact(data(spark, sf_dir), name, model(spark, sf_dir, name))
 
 
 # rows of the test fold, as operators.preparation.hash_fold deals them
@@ -150,13 +148,13 @@ def score_all_models(spark, sf_dir):
 
 def latest_scores(spark, sf_dir):
     """The people still there in the latest period, scored by every trained model."""
-    rows = latest_period_snapshot(labelled(spark, sf_dir).withColumn("turnover", (F.col("status") == "Left").cast("int")), as_of=AS_OF)
+    rows = latest_period_snapshot(labelled(spark, sf_dir).withColumn("turnover", (F.col("status") == "Left").cast("int")), full_share=FULL_SHARE)
     coded = data(spark, sf_dir).encoder.transform(training_inputs(rows))
     return ops.score_all_models(coded, all_models(spark, sf_dir), [*KEY, "name", "position"])
 
 
 STILL_SQL = f"""still AS (SELECT * FROM labelled WHERE status <> 'Left'
-  AND year * 12 + month = (SELECT max(year * 12 + month) FROM labelled WHERE {UP_TO_NOW}))"""
+  AND year * 12 + month = {now_sql("labelled")})"""
 
 
 @query(
@@ -214,34 +212,51 @@ def best_model_ranking(spark, sf_dir):
 
 @query(
     "save_load_pipeline",
-    on_panel("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different, CAST(0 AS BIGINT) AS n_outside FROM labelled", *LABELLED_SQL),
-)
+    on_panel("""SELECT model, 'absent' AS first_time, 'loaded' AS second_time, 'incompatible' AS other_features, count(*) AS n_rows,
+      CAST(0 AS BIGINT) AS n_different, CAST(0 AS BIGINT) AS n_outside FROM labelled,
+      (VALUES ('logistic_regression'), ('random_forest'), ('gbt_depthwise'), ('gbt_leafwise'), ('neural_network')) AS v(model)
+      GROUP BY model""", *LABELLED_SQL),
+)
 def save_load_pipeline(spark, sf_dir):
-    """Rows scored by the model, by the saved and reloaded one, and by one retrained where none was saved."""
-    path, names = new_path(spark, "model"), data(spark, sf_dir).names
-    inputs = (MODEL_INPUTS, MODEL_CATEGORICAL)
-    fresh = artefact(spark, sf_dir)
-    ops.load_or_train(path, names, lambda: fresh, inputs)  # nothing there yet: trains and saves
+    """Every family saved where nothing was, found again, and refused for other features; rows its two copies score unlike."""
+    names, report, both = data(spark, sf_dir).names, [], {}
 
     def never():
         raise AssertionError("the saved model should have been loaded")
 
-    loaded = ops.load_or_train(path, names, never, inputs)
-    rows = training_inputs(labelled(spark, sf_dir))
-    name = "logistic_regression"
-    before = fresh.transform(rows).select(*KEY, ops.probability(name).alias("before"))
-    after = loaded.transform(rows).select(*KEY, ops.probability(name).alias("after"))
-    both = before.join(after, KEY)
-    return both.agg(
+    for family in ops.TRAINERS:
+        path = new_path(spark, "model")
+        fresh, first = ops.load_or_train(path, names, lambda f=family: artefact(spark, sf_dir, f))
+        loaded, second = ops.load_or_train(path, names, never)
+        try:
+            artefacts.load(spark, path, names[1:])
+            third = "loaded"
+        except artefacts.Incompatible:
+            third = "incompatible"
+        both |= {f"{family}|before": fresh.model, f"{family}|after": loaded.model}
+        report.append((family, first, second, third))
+    coded = data(spark, sf_dir).encoder.transform(training_inputs(labelled(spark, sf_dir)))
+    scores = ops.score_all_models(coded, both, KEY)
+    part = F.split("model", r"\|")
+    wide = scores.groupBy(*KEY, part[0].alias("model")).agg(
+        *[F.max(F.when(part[1] == c, F.col("churn_probability"))).alias(c) for c in ("before", "after")]
+    )
+    counted = wide.groupBy("model").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(F.col("before") != F.col("after"), 1)).alias("n_different"),
-        F.count(F.when((F.col("after") < 0) | (F.col("after") > 1), 1)).alias("n_outside"),
+        F.count(F.when(~F.col("before").eqNullSafe(F.col("after")), 1)).alias("n_different"),
+        F.count(F.when(~F.coalesce(F.col("after").between(0, 100), F.lit(False)), 1)).alias("n_outside"),
     )
+    return spark.createDataFrame(report, "model string, first_time string, second_time string, other_features string").join(counted, "model")
+
 
+def score_rows(pipeline, rows, years: tuple[int, int] | None = None):
+    """Typed upload rows to rows with their chance of leaving in percent, prepared as for training.
 
-def score_rows(pipeline, rows):
-    """Typed upload rows to rows with their chance of leaving in percent, prepared as for training."""
-    scored = pipeline.transform(training_inputs(label_turnover(filter_year_range(rows, *YEARS))))
+    All rows are scored, whatever their year; ``years``, a first and a last one, leaves out others.
+    """
+    if years is not None:
+        rows = filter_year_range(rows, *years)
+    scored = pipeline.transform(training_inputs(label_turnover(rows)))
     percent = (ops.probability("logistic_regression") * 100).alias("churn_probability")
     return scored.select(*KEY, "name", "position", F.col("age"), "status", "turnover", percent)
 
@@ -257,7 +272,7 @@ def scored_upload(spark, sf_dir):
     write_upload(spark, sf_dir, upload)
     ops.save_pipeline(artefact(spark, sf_dir), saved)
     rows = clean_panel(files.scan_panel_csv(spark, upload))
-    return score_rows(PipelineModel.load(saved), rows)
+    return score_rows(ops.load_pipeline(saved), rows)
 
 
 def ranked_upload(spark, sf_dir):

@@ -6,7 +6,7 @@ from staffflow.operators import ranking as ops
 from staffflow.plans.joining import SCORED_SQL, scored_panel, top_lists
 from staffflow.plans.registry import query
 from staffflow.plans.rules import RISK_SCORED_SQL, risk_scored
-from staffflow.sources.tables import AS_OF, UP_TO_NOW, on_panel
+from staffflow.sources.tables import FULL_SHARE, now_sql, on_panel
 
 
 @query(
@@ -15,13 +15,13 @@ from staffflow.sources.tables import AS_OF, UP_TO_NOW, on_panel
         f"""SELECT employee_id, churn_probability, year, month, name, position, age, status, turnover,
       CAST(0 AS BIGINT) AS n_dropped FROM risk_scored
       WHERE turnover = 0 AND churn_probability > 20
-        AND year * 12 + month = (SELECT max(year * 12 + month) FROM risk_scored WHERE {UP_TO_NOW})
+        AND year * 12 + month = {now_sql("risk_scored")}
       ORDER BY churn_probability DESC, employee_id LIMIT 15""",
         *RISK_SCORED_SQL,
     ),
 )
 def critical_employees(spark, sf_dir):
-    return ops.top_n_at_risk(ops.critical_employees(risk_scored(spark, sf_dir), 20.0, as_of=AS_OF))
+    return ops.top_n_at_risk(ops.critical_employees(risk_scored(spark, sf_dir), 20.0, full_share=FULL_SHARE))
 
 
 @query(

@@ -78,6 +78,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Survives the loss of any executor and, unlike a row checkpoint, later steps
     read only the columns they need and know the table's size.
     """
+    return written(df)[0]
+
+
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """``cut_lineage`` with the place of the table, for tables that go again with ``remove``."""
     path = new_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``written`` made and nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

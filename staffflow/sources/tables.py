@@ -14,8 +14,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# the last month with more than a few orders: what the ranking queries take as "now"
-AS_OF = (2001, 7)
+# what the ranking queries take as "now": the last month with this share of the median month's rows
+FULL_SHARE = 0.5
 
 _FROM_LINES = {"overtime", "absence_days", "switching_readiness"}
 _FROM_SPELL = {"hiring_date", "exit_date", "status", "tenure"}
@@ -218,8 +218,10 @@ scores AS (
   UNION ALL SELECT row_key, 'disc', y, disc FROM wide)"""
 
 
-# the last period of a table or view with year and month, up to AS_OF
-UP_TO_NOW = f"year * 12 + month <= {AS_OF[0] * 12 + AS_OF[1]}"
+def now_sql(table: str) -> str:
+    """SQL for year * 12 + month of the last month of ``table`` with FULL_SHARE of the median month's rows."""
+    months = f"SELECT year * 12 + month AS p, count(*) AS n FROM {table} GROUP BY year * 12 + month"
+    return f"(SELECT max(p) FROM ({months}) WHERE n >= {FULL_SHARE} * (SELECT median(n) FROM ({months})))"
 
 
 def on_panel(sql: str, *more: str) -> str:

@@ -95,3 +95,40 @@ def test_filters_reach_the_scan(spark):
     plan = filters.event_year_filter(filters.filter_year_range(df, 2005, 2010), "exit_date", 2001)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(exit_date" in text and "year#" in text.split("PartitionFilters: [")[1]
+
+
+def test_latest_full_month_follows_the_table(spark):
+    """Months with few rows count as not delivered; a table that reaches further has its own last month."""
+    from staffflow.operators.filters import latest_period_snapshot
+
+    rows = [(e, y, m, 0) for y in (2001, 2002) for m in range(1, 13) for e in range(10)] + [(e, 2003, 1, 0) for e in range(2)]
+    more = [(e, y, 6, e % 2) for y in (2004, 2005) for e in range(10)] + [(1, 2005, 9, 0)]
+    schema = "employee_id long, year int, month int, turnover int"
+    for table, want in ((rows, (2002, 12, 10)), (rows + more, (2005, 6, 5))):
+        out = latest_period_snapshot(spark.createDataFrame(table, schema), full_share=0.5).collect()
+        assert {(r.year, r.month) for r in out} == {want[:2]} and len(out) == want[2]
+    out = latest_period_snapshot(spark.createDataFrame(rows, schema)).collect()
+    assert {(r.year, r.month) for r in out} == {(2003, 1)}
+
+
+def test_query_and_twin_rank_the_last_month_of_a_longer_table(spark, tmp_path):
+    """Orders moved on by four years: query and twin both rank 2005."""
+    import os
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from staffflow.plans import load_all
+    from tests.compare import compare, connect
+    from tests.conftest import SMALL
+
+    for name in os.listdir(SMALL):
+        if name != "orders.parquet":
+            os.symlink(f"{SMALL}/{name}", tmp_path / name)
+    moved = spark.read.parquet(f"{SMALL}/orders.parquet").withColumn("o_orderdate", F.add_months("o_orderdate", 48).cast("date"))
+    kind = dict(spark.read.parquet(f"{SMALL}/orders.parquet").dtypes)["o_orderdate"]
+    pq.write_table(moved.withColumn("o_orderdate", F.col("o_orderdate").cast(kind)).toArrow(), tmp_path / "orders.parquet")
+    for name in ("latest_period_snapshot", "critical_employees"):
+        ok, note = compare(spark, connect(str(tmp_path)), load_all()[name], str(tmp_path))
+        assert ok, note
+    assert {r.year for r in load_all()["latest_period_snapshot"].build(spark, str(tmp_path)).collect()} == {2005}

@@ -132,3 +132,12 @@ def test_mixed_progression_is_ranked(spark):
     rows = [("Lateral Move", 5), ("7", 7), ("Promotion", 8), ("?", None), (None, None)]
     df = spark.createDataFrame(rows, "job_role_progression string, want int")
     assert all(r["got"] == r["want"] for r in df.withColumn("got", progression_rank()).collect())
+
+
+def test_uploads_of_any_year_are_scored(spark, sf_dir):
+    """No row of an upload goes because of its year, unless years are asked for."""
+    rows = labelled(spark, sf_dir).limit(20).withColumn("year", F.lit(1950)).withColumn("training_costs", F.lit(1.0))
+    pipeline = plans.artefact(spark, sf_dir)
+    n = rows.filter("status <> 'Retired'").count()
+    assert plans.score_rows(pipeline, rows).count() == n > 0
+    assert plans.score_rows(pipeline, rows, years=(1990, 2030)).count() == 0
