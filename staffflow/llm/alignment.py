@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffflow.llm.chunks import BYTE_CHARACTERS
+from staffflow.llm.chunks import BYTE_CHARACTERS, ids_of_chunks, opening_tokens, stands_alone
 from staffflow.llm.common import map_batches, sent, stored, texts_of
 
 #: Token ends, of both sides together, in a piece of a merge.
@@ -102,6 +102,7 @@ class TwoTokenizers:
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self.opens = opening_tokens(self.a)
         byte_of = {c: v for v, c in BYTE_CHARACTERS.items()}
         vocabulary = self.a.get_vocab(with_added_tokens=True)
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
@@ -121,10 +122,18 @@ class TwoTokenizers:
         #: whether no piece of B goes on after a blank, so that texts may be cut before blanks
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in plain)
 
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of each unit on both sides; B adds the blank that A gets in the text."""
-        a = self.a.encode_batch_fast([f" {u}" for u in units], add_special_tokens=False)
-        return [x.ids for x in a], self.b.encode(units, num_threads=1)
+    def encode(self, units: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Per side the ids of all units end to end and how many each has; B adds the blank that A gets in the text."""
+        alone = [stands_alone(u) and " " not in u for u in units]
+        flat, sizes = ids_of_chunks(self.a, self.opens, [u for u, yes in zip(units, alone, strict=True) if yes])
+        if not all(alone):
+            whole = self.a.encode_batch_fast([f" {u}" for u, yes in zip(units, alone, strict=True) if not yes], add_special_tokens=False)
+            parts, others = iter(np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []), iter(whole)
+            both = [next(parts) if yes else np.array(next(others).ids, np.uint32) for yes in alone]
+            flat, sizes = np.concatenate(both), np.array([len(x) for x in both], np.int64)
+        ids_b = self.b.encode(units, num_threads=1)
+        n_b = np.fromiter(map(len, ids_b), np.int64, len(ids_b))
+        return (flat.astype(np.int64), sizes), (np.fromiter(chain.from_iterable(ids_b), np.int64, int(n_b.sum())), n_b)
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -177,10 +186,8 @@ def _whole(texts: list[bytes], flat: np.ndarray, sizes: np.ndarray, pieces: list
 
 def align(units: list[str], tokenizers: TwoTokenizers, piece: int | None = None) -> Aligned:
     """Groups and links of every unit; all units are merged as one line of bytes."""
-    ids = tokenizers.encode(units)
+    (a, n_a), (b, n_b) = tokenizers.encode(units)
     texts = [b" " + u.encode() for u in units]
-    n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in ids)
-    a, b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in zip(ids, (n_a, n_b), strict=True))
     whole = _whole(texts, a, n_a, tokenizers.bytes_a) & _whole(texts, b, n_b, tokenizers.bytes_b)
     a, b = a[np.repeat(whole, n_a)], b[np.repeat(whole, n_b)]
     n_a, n_b = n_a * whole, n_b * whole
@@ -243,9 +250,7 @@ class Units:
     def split(self, text: str) -> list[str]:
         """Parts that can be encoded alone, each without the blank before it."""
         parts = text.split(" ")
-        if not self.tokenizers.cuts or any(p == "" or p[-1].isspace() for p in parts):
-            return [text]
-        return parts
+        return parts if self.tokenizers.cuts and all(map(stands_alone, parts)) else [text]
 
     def learn(self, parts: list[str]) -> np.ndarray:
         """Places of the parts in ``known``; what is not there yet is aligned."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 
@@ -31,16 +32,63 @@ def _byte_characters() -> dict[int, str]:
 BYTE_CHARACTERS = _byte_characters()
 
 
-class _Numbers(dict):
-    """Chunk to its number in an encoder, learnt at the first look-up; -1 where chunks cannot be told apart."""
+BLANK_MARK = BYTE_CHARACTERS[32]
 
-    def __init__(self, encoder: ChunkEncoder, before: str):
-        super().__init__()
-        self.encoder, self.before = encoder, before
 
-    def __missing__(self, chunk: str) -> int:
-        self[chunk] = number = self.encoder._learn(chunk, self.before)
-        return number
+def opening_tokens(tokenizer) -> np.ndarray:
+    """By id, whether a token of a byte-level vocabulary starts with a blank."""
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    out[[number for entry, number in vocabulary.items() if entry.startswith(BLANK_MARK)]] = True
+    return out
+
+
+def stands_alone(chunk: str) -> bool:
+    """Whether a chunk between two blanks is encoded alike wherever it stands."""
+    return chunk != "" and not chunk[-1].isspace()
+
+
+def ids_of_chunks(tokenizer, opens: np.ndarray, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a blank and each chunk end to end, and how many each has, for chunks that stand alone.
+
+    They are encoded as one text: a chunk's first token is the only one in it that starts with a
+    blank, so the ids can be cut apart again.
+    """
+    if not chunks:
+        return np.empty(0, np.uint32), np.empty(0, np.int64)
+    text = " " + " ".join(chunks)
+    ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+    starts = np.flatnonzero(opens[ids])
+    if len(starts) != len(chunks):
+        raise ValueError("chunks cannot be told apart in this vocabulary")
+    return ids, np.diff(starts, append=len(ids))
+
+
+def _end_to_end(lists) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes
+
+
+class _Generation:
+    """Chunks and their ids end to end."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.flat = np.empty(0, np.uint32)
+        self.starts = self.sizes = np.empty(0, np.int64)
+
+    def add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, ids])
+        first = len(self.place)
+        self.place.update(zip(chunks, range(first, first + len(chunks)), strict=True))
+
+    def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks at these places end to end, and how many each has."""
+        sizes = self.sizes[at]
+        inner = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes - self.starts[at], sizes)
+        return self.flat[inner], sizes
 
 
 class ChunkEncoder:
@@ -49,67 +97,72 @@ class ChunkEncoder:
     Such a tokenizer cuts a text before each blank that follows a non-blank, whatever stands
     around, so the parts can be encoded alone and looked up. A text in which a blank follows
     other white space is encoded whole, since runs of white space are cut differently. The
-    library does every merge; a word of Latin letters goes straight to its model.
+    library does every merge, of new chunks many at a time. Chunks are kept in two generations:
+    when the newer one is full, the older one goes, so frequent chunks stay.
     """
 
-    #: Known chunks after which the encoder starts anew: about 200 MB.
-    LIMIT = 1_000_000
+    #: Chunks of a generation: about 100 MB.
+    LIMIT = 500_000
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.merge = tokenizer, tokenizer.model.tokenize
+        self.tokenizer, self.merge, self.opens = tokenizer, tokenizer.model.tokenize, opening_tokens(tokenizer)
         self.marks = {m: tokenizer.token_to_id(m) for m in ".,"}
-        self._clear()
-
-    def _clear(self) -> None:
-        # a text's first chunk has no blank before it
-        self.first, self.later = _Numbers(self, ""), _Numbers(self, " ")
-        self.flat = np.empty(1 << 20, np.uint32)
-        self.starts = np.empty(1 << 18, np.int64)
-        self.sizes = np.empty(1 << 18, np.int64)
-        self.used = self.known = 0
-
-    def _ids(self, chunk: str, before: str) -> list[int]:
-        word, mark = (chunk[:-1], chunk[-1]) if chunk[-1] in ".," else (chunk, "")
-        if not word.isalpha() or (not word.isascii() and max(word) >= "\u0250"):
-            return self.tokenizer.encode(before + chunk, add_special_tokens=False).ids
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
-        ids = [t.id for t in self.merge(BYTE_CHARACTERS[32] + word if before else word)]
-        if mark:
-            ids.append(self.marks[mark])
-        return ids
-
-    def _learn(self, chunk: str, before: str) -> int:
-        if chunk == "" or chunk[-1].isspace():
-            return -1
-        ids = self._ids(chunk, before)
-        n, end = len(ids), self.used + len(ids)
-        while end > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        if self.known == len(self.starts):
-            self.starts, self.sizes = (np.resize(a, 2 * len(a)) for a in (self.starts, self.sizes))
-        self.flat[self.used : end] = ids
-        self.starts[self.known], self.sizes[self.known] = self.used, n
-        self.used, self.known = end, self.known + 1
-        return self.known - 1
+        self.new, self.old = _Generation(), _Generation()
+
+    def _learn(self, chunks: set[str]) -> None:
+        if len(self.new.place) + len(chunks) > self.LIMIT:
+            self.old, self.new = self.new, _Generation()
+        fresh = chunks.difference(self.new.place)
+        if self.old.place:
+            again = list(fresh.intersection(self.old.place))
+            self.new.add(again, *self.old.ids(np.array([self.old.place[c] for c in again], np.int64)))
+            fresh.difference_update(again)
+        # words of ASCII letters, and those with a mark behind them, go straight to the model
+        merge, mark_of = self.merge, self.marks.get
+        plain = [c for c in fresh if c.isascii() and c.isalpha()]
+        self.new.add(plain, *_end_to_end([[t.id for t in merge(BLANK_MARK + c)] for c in plain]))
+        fresh.difference_update(plain)
+        marked = [c for c in fresh if c[-1:] in self.marks and c.isascii() and c[:-1].isalpha()]
+        self.new.add(marked, *_end_to_end([[*(t.id for t in merge(BLANK_MARK + c[:-1])), mark_of(c[-1])] for c in marked]))
+        fresh.difference_update(marked)
+        # other Latin letters as the characters that stand for their bytes
+        latin = [c for c in fresh if c.isalpha() and max(c) < "\u0250"]
+        spelt = [c.encode().decode("latin-1").translate(BYTE_CHARACTERS) for c in latin]
+        self.new.add(latin, *_end_to_end([[t.id for t in merge(BLANK_MARK + c)] for c in spelt]))
+        fresh.difference_update(latin)
+        alone = [c for c in fresh if stands_alone(c)]
+        for at in range(0, len(alone), 20_000):
+            some = alone[at : at + 20_000]
+            self.new.add(some, *ids_of_chunks(self.tokenizer, self.opens, some))
+        bound = list(fresh.difference(alone))  # no ids: such a chunk's text is encoded whole
+        self.new.add(bound, np.empty(0, np.uint32), np.zeros(len(bound), np.int64))
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids if text else [], np.uint32)
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text as unsigned 32-bit integers."""
+        parts = [t.split(" ") for t in texts]
+        # the first chunk of a text has no blank before it
+        heads = [p[0] for p in parts]
+        chunks = list(chain.from_iterable(p[1:] for p in parts))
+        self._learn(set(chunks))
+        at = np.fromiter(map(self.new.place.__getitem__, chunks), np.int64, len(chunks))
+        ids, sizes = self.new.ids(at)
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        ends = np.cumsum([len(p) - 1 for p in parts])
+        bound = np.concatenate(([0], np.cumsum(sizes == 0)))
+        out, start = [], 0
+        for text, head, end in zip(texts, heads, ends.tolist(), strict=True):
+            if start == end or bound[end] > bound[start] or not stands_alone(head):
+                out.append(self._whole(text))
+            else:
+                out.append(np.concatenate([self._whole(head), ids[upto[start] : upto[end]]]))
+            start = end
+        return out
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a text as unsigned 32-bit integers."""
-        if text == "":
-            return np.empty(0, np.uint32)
-        if self.known > self.LIMIT:
-            self._clear()
-        parts = text.split(" ")
-        at = np.empty(len(parts), np.int64)
-        at[0] = self.first[parts[0]]
-        at[1:] = np.fromiter(map(self.later.__getitem__, parts[1:]), np.int64, len(parts) - 1)
-        if at.min() < 0:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        place = np.repeat(self.starts[at] - ends + sizes, sizes)
-        place += np.arange(ends[-1])
-        return self.flat[place]
+        return self.encode_all([text])[0]
 
 
 def process_encoder(path: str) -> ChunkEncoder:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
@@ -61,11 +62,38 @@ def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+_RECORDS: list[list[str]] = []
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write the table to the shared folder and read it back; survives lost executors."""
-    from staffflow.session import cut_lineage
+    from staffflow.session import written
+
+    table, path = written(df)
+    for paths in _RECORDS:
+        paths.append(path)
+    return table
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Add the places of all tables ``stored`` meanwhile to ``paths``."""
+    _RECORDS.append(paths)
+    try:
+        yield
+    finally:
+        _RECORDS.remove(paths)
+
+
+def drop_tables(paths: list[str], docs: DataFrame) -> None:
+    """Delete the tables at ``paths`` that ``docs`` does not read, and take them off the list."""
+    from staffflow.session import remove
 
-    return cut_lineage(df)
+    read = " ".join(docs.inputFiles())
+    for path in paths[:]:
+        if path.rpartition("/")[2] not in read:
+            remove(docs.sparkSession, path)
+            paths.remove(path)
 
 
 def id_remainder(doc_id: Column, modulus: int) -> Column:

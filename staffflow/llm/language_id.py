@@ -20,12 +20,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staffflow.llm.common import id_remainder, map_batches, sent, stored, texts_of
 
-#: Training texts of a language at most, by the order of a hash; the probabilities are fitted on their words.
+#: Training texts of a language, about, picked by a hash; the probabilities are fitted on their words.
 SAMPLE = 1_000
 ROUNDS = 4
 #: Parts of a language's probabilities that come from all languages alike, and from no language: a piece
@@ -181,20 +181,19 @@ class Scorer:
 
 
 def training_texts(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
-    """(lang, text) of at most ``per_language`` distinct rows (doc_id, text) of every language.
+    """(lang, text) of about ``per_language`` distinct rows (doc_id, text) of every language, all of a rarer one.
 
-    The rows with the least hashes are taken: one number a language goes through the driver, and
-    the texts are only filtered.
+    A row is taken if its hash lies in the share that its language needs: one number a language
+    goes through the driver, and the texts are only filtered.
     """
     key = F.md5(F.concat_ws("\0", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text").cast("binary"))
     keyed = docs.filter("lang is not null and text is not null").select("lang", "text", key.alias("key"))
-    by_key = Window.partitionBy("lang").orderBy("key")
-    first = keyed.select("lang", "key").distinct().withColumn("rank", F.row_number().over(by_key)).filter(F.col("rank") <= per_language)
-    last = {r.lang: r.key for r in first.groupBy("lang").agg(F.max("key").alias("key")).collect()}
-    if not last:
+    sizes = keyed.select("lang", "key").distinct().groupBy("lang").count().orderBy("lang").collect()
+    if not sizes:
         return keyed.select("lang", "text").limit(0)
-    limits = F.create_map(*[F.lit(x) for pair in sorted(last.items()) for x in pair])
-    return keyed.filter(F.col("key") <= limits[F.col("lang")]).dropDuplicates(["lang", "key"]).select("lang", "text")
+    shares = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], per_language / r["count"])])
+    place = F.conv(F.substring("key", 1, 13), 16, 10).cast("double") / float(16**13)
+    return keyed.filter(place < shares[F.col("lang")]).dropDuplicates(["lang", "key"]).select("lang", "text")
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -236,13 +236,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, all of their columns.
+    """The ``is_first`` rows of ``near_duplicates`` of ``docs``, all of their columns: one of each component.
 
     Rows are joined on a number given before the search, so the input is written once with it.
     """
     number = "near_duplicates_row"
+    while number in docs.columns:
+        number += "_"
     numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()))
-    gone = near_duplicates(numbered, number).filter("not kept").select(F.col("row_id").alias(number))
+    gone = near_duplicates(numbered, number).filter("not is_first").select(F.col("row_id").alias(number))
     return numbered.join(gone, number, "left_anti").drop(number)
 
 
@@ -251,10 +253,10 @@ def near_duplicates(docs: DataFrame, number: str | None = None) -> DataFrame:
 
     Input: columns ``doc_id`` and ``text``; others are ignored. Output, one row per input row:
     ``row_id`` (the column ``number``, else its place in this run), ``doc_id``, ``n_shingles``, ``component_id`` (smallest doc_id
-    reachable over links, itself included), ``kept``. Texts that are null, empty or blank have an
-    empty set and no links. A null doc_id links like any other but never names a component while
-    another id is there. Of rows that repeat one doc_id inside a component only the first is
-    kept, so exactly one row of each component is.
+    reachable over links, itself included), ``kept`` (doc_id is component_id; both null counts as
+    equal), ``is_first`` (true for one row of each component, of rows that repeat its id too).
+    Texts that are null, empty or blank have an empty set and no links. A null doc_id links like
+    any other but never names a component while another id is there.
     """
     row_id = F.col(number) if number else F.monotonically_increasing_id()
     source = docs.select("doc_id", "text", row_id.alias("row_id"))
@@ -282,7 +284,8 @@ def near_duplicates(docs: DataFrame, number: str | None = None) -> DataFrame:
     return placed.join(heads, "component").select(
         "row_id", "doc_id", "n_shingles",
         F.col("head.doc_id").alias("component_id"),
-        (F.col("head.row_id") == F.col("row_id")).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.col("head.doc_id")).alias("kept"),
+        (F.col("head.row_id") == F.col("row_id")).alias("is_first"),
     )
 
 

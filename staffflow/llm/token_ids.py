@@ -24,6 +24,8 @@ from staffflow.llm.common import map_batches, stored, texts_of
 END = 0
 FILE_IDS = 4_000_000
 BLOCK_IDS = 65_536
+#: Texts encoded together.
+ROWS = 256
 
 _FILES = "part long, file long, first_id long, n_docs long, n_ids long, doc_ids array<{kind}>, content binary"
 _DOCUMENTS = "part long, doc_id {kind}, first_id long, n_tokens long, ids_crc32 long"
@@ -54,15 +56,14 @@ def write_ids(docs: DataFrame, path: str, end: int = END) -> DataFrame:
             columns += [pa.array([doc_ids], pa.list_(arrow)), pa.array([content], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
-                held.append(np.append(encoder.encode(text), np.uint32(end)))
-                doc_ids.append(doc_id)
-                size += len(held[-1])
-                if size >= FILE_IDS:
-                    yield file()
-                    first, number = first + size, number + 1
-                    held, doc_ids, size = [], [], 0
+        for doc_id, ids in _encoded(batches, encoder):
+            held.append(np.append(ids, np.uint32(end)))
+            doc_ids.append(doc_id)
+            size += len(held[-1])
+            if size >= FILE_IDS:
+                yield file()
+                first, number = first + size, number + 1
+                held, doc_ids, size = [], [], 0
         if held:
             yield file()
 
@@ -70,6 +71,14 @@ def write_ids(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     return map_batches(dealt, step, _FILES.format(kind=kind))
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], encoder) -> Iterator[tuple]:
+    """(doc_id, ids) of every row; new chunks of ROWS texts are learnt together."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            yield from zip(batch.column("doc_id").to_pylist(), encoder.encode_all(texts_of(batch)), strict=True)
+
+
 def read_ids(files: DataFrame) -> Iterator[tuple]:
     """Decode files: a table (part, doc_id, first_id in the part, ids) of every document."""
     kind = files.schema["doc_ids"].dataType.elementType.simpleString()

@@ -158,16 +158,17 @@ def check_groups(docs):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     expected = expected_groups(rows)
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found], key=repr) == expected
-    assert all(r.doc_id == r.component_id for r in found if r.kept)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
     return found
 
 
 def test_groups_equal_brute_force(small, awkward):
     found = check_groups(small)
-    assert sum(r.kept for r in found) == len({r.component_id for r in found})
+    assert sum(r.is_first for r in found) == len({r.component_id for r in found})
     found = check_groups(awkward)
-    # of the two equal rows with id 4 (and the id-less copy) one is kept
-    assert sum(r.kept for r in found if r.component_id == 4) == 1
+    # of the two equal rows with id 4 (and the id-less copy) one is the first
+    assert sum(r.is_first for r in found if r.component_id == 4) == 1
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found) and sum(r.kept for r in found if r.component_id == 4) == 2
 
 
 def test_links_without_the_hub_are_found(spark):
@@ -212,6 +213,8 @@ def test_one_of_each_keeps_the_columns(awkward, empty):
     kept = near_duplicates.one_of_each(awkward)
     assert kept.columns == awkward.columns
     assert sorted([r.doc_id for r in kept.collect()]) == [1, 2, 3, 4, 6, 8]
+    named = near_duplicates.one_of_each(awkward.withColumn("near_duplicates_row", F.lit("own")))
+    assert {r.near_duplicates_row for r in named.collect()} == {"own"} and named.count() == 6
     assert near_duplicates.one_of_each(empty).count() == 0
 
 
