@@ -6,6 +6,8 @@ import os
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def vocabulary(name: str) -> str:
@@ -109,14 +111,24 @@ class ChunkEncoder:
         self.marks = {m: tokenizer.token_to_id(m) for m in ".,"}
         self.new, self.old = _Generation(), _Generation()
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _places(self, chunks: list[str]) -> np.ndarray:
+        """Places of distinct chunks in the newer generation; what is not there yet is learnt."""
         if len(self.new.place) + len(chunks) > self.LIMIT:
             self.old, self.new = self.new, _Generation()
-        fresh = chunks.difference(self.new.place)
-        if self.old.place:
-            again = list(fresh.intersection(self.old.place))
-            self.new.add(again, *self.old.ids(np.array([self.old.place[c] for c in again], np.int64)))
-            fresh.difference_update(again)
+        get, old = self.new.place.get, self.old.place.get
+        at = np.fromiter([get(c, -1) for c in chunks], np.int64, len(chunks))
+        lacking = np.flatnonzero(at < 0)
+        if len(lacking):
+            missing = [chunks[k] for k in lacking.tolist()]
+            before = np.fromiter([old(c, -1) for c in missing], np.int64, len(missing))
+            again = np.flatnonzero(before >= 0)
+            self.new.add([missing[k] for k in again.tolist()], *self.old.ids(before[again]))
+            self._learn({missing[k] for k in np.flatnonzero(before < 0).tolist()})
+            place = self.new.place
+            at[lacking] = [place[c] for c in missing]
+        return at
+
+    def _learn(self, fresh: set[str]) -> None:
         # words of ASCII letters, and those with a mark behind them, go straight to the model
         merge, mark_of = self.merge, self.marks.get
         plain = [c for c in fresh if c.isascii() and c.isalpha()]
@@ -140,29 +152,31 @@ class ChunkEncoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids if text else [], np.uint32)
 
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text as unsigned 32-bit integers."""
-        parts = [t.split(" ") for t in texts]
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a string array without nulls, as unsigned 32-bit integers."""
+        lists = pc.split_pattern(texts, " ")
+        chunks, offsets = lists.flatten(), lists.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        coded = chunks.dictionary_encode()
+        at = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         # the first chunk of a text has no blank before it
-        heads = [p[0] for p in parts]
-        chunks = list(chain.from_iterable(p[1:] for p in parts))
-        self._learn(set(chunks))
-        at = np.fromiter(map(self.new.place.__getitem__, chunks), np.int64, len(chunks))
+        heads = chunks.take(pa.array(offsets[:-1])).to_pylist()
+        at = np.delete(at, offsets[:-1])
+        ends = offsets[1:] - np.arange(1, len(texts) + 1)
         ids, sizes = self.new.ids(at)
         upto = np.concatenate(([0], np.cumsum(sizes)))
-        ends = np.cumsum([len(p) - 1 for p in parts])
         bound = np.concatenate(([0], np.cumsum(sizes == 0)))
         out, start = [], 0
-        for text, head, end in zip(texts, heads, ends.tolist(), strict=True):
+        for k, (head, end) in enumerate(zip(heads, ends.tolist(), strict=True)):
             if start == end or bound[end] > bound[start] or not stands_alone(head):
-                out.append(self._whole(text))
+                out.append(self._whole(texts[k].as_py()))
             else:
                 out.append(np.concatenate([self._whole(head), ids[upto[start] : upto[end]]]))
             start = end
         return out
 
     def encode(self, text: str) -> np.ndarray:
-        return self.encode_all([text])[0]
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 def process_encoder(path: str) -> ChunkEncoder:

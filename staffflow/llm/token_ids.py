@@ -13,19 +13,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staffflow.llm import rans
 from staffflow.llm.chunks import process_encoder
-from staffflow.llm.common import map_batches, stored, texts_of
+from staffflow.llm.common import map_batches, stored
 
 END = 0
 FILE_IDS = 4_000_000
 BLOCK_IDS = 65_536
 #: Texts encoded together.
-ROWS = 256
+ROWS = 1_024
 
 _FILES = "part long, file long, first_id long, n_docs long, n_ids long, doc_ids array<{kind}>, content binary"
 _DOCUMENTS = "part long, doc_id {kind}, first_id long, n_tokens long, ids_crc32 long"
@@ -76,7 +77,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], encoder) -> Iterator[tuple]:
     for whole in batches:
         for at in range(0, whole.num_rows, ROWS):
             batch = whole.slice(at, ROWS)
-            yield from zip(batch.column("doc_id").to_pylist(), encoder.encode_all(texts_of(batch)), strict=True)
+            texts = pc.fill_null(batch.column("text").cast(pa.string()), "")
+            yield from zip(batch.column("doc_id").to_pylist(), encoder.encode_all(texts), strict=True)
 
 
 def read_ids(files: DataFrame) -> Iterator[tuple]:
