@@ -50,13 +50,17 @@ class Model:
     weights: dict[str, float]
     intercept: float
 
+    def __post_init__(self) -> None:
+        self.names = {g: g for g in self.weights}
+
     def score(self, texts: list[str], known: dict[str, tuple[str, ...]]) -> list[float]:
         """Probability of label 1; ``known`` keeps the n-grams with a weight of words seen so far."""
-        weights, out = self.weights, []
+        weights, names, out = self.weights, self.names, []
         for text in texts:
             words = words_of(text)
             for word in words.difference(known):
-                known[word] = tuple(g for g in ngrams(word) if g in weights)
+                # the model's own strings: words that are kept do not hold a copy each
+                known[word] = tuple(names[g] for g in ngrams(word) if g in names)
             present = {g for word in words for g in known[word]}
             # sorted, so that the sum does not depend on the order of a set
             margin = self.intercept + sum(sorted(weights[g] for g in present))
