@@ -32,7 +32,7 @@ from staffflow.llm.common import bytes_of, id_remainder, map_batches, sent, stor
 #: A word is frequent if it is more than 1/HEAD of the training tokens.
 HEAD = 1 << 16
 UNITS, CLASSES = 1024, 64
-DIM = 16
+DIM = 32
 NOISE, BATCH, RATE = 32, 4096, 0.15
 #: Documents of the first fit, about, and its passes over them.
 SAMPLE, PASSES = 1_000, 4

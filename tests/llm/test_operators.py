@@ -113,7 +113,7 @@ def test_unit_probabilities_sum_to_one():
 def test_noise_contrastive_training_finds_a_pattern():
     counts = np.full(6, 100.0)
     trainer = language_model.Trainer(language_model.Parameters.start(counts), counts, 0)
-    for _ in range(400):
+    for _ in range(1_600):
         trainer.feed(np.array([1, 2, 3, 4, 5] * 20 + [0]))
     p = trainer.p
     scorer = language_model.Scorer(p, np.stack([language_model.log_normaliser(p, k) for k in range(6)]))
