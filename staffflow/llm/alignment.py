@@ -399,8 +399,9 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, slice_pairs: int = SLIC
     Output, one row per row of ``docs`` (doc_id, text; further columns are ignored): doc_id, n_a,
     n_b, n_groups, n_links, n_best (links whose id pair is held by as many documents as any pair
     of its A id), count_sum (documents that hold a link's pair, over the links), groups_sha256.
-    Rows that repeat are documents of their own. Without tokens all numbers are 0 and the digest
-    is empty.
+    Rows that repeat are documents of their own, a text of any length is aligned whole, an empty
+    table gives no rows. Without tokens (null and empty texts, and those that a tokenizer does not
+    give back byte by byte) all numbers are 0 and the digest is empty.
     """
     spark = docs.sparkSession
     rows = stored(aligned(docs, path_a, path_b).withColumn("row_id", F.monotonically_increasing_id()))

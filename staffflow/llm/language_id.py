@@ -290,7 +290,8 @@ def languages(docs: DataFrame, path: str) -> DataFrame:
     doc_id, held_out, lang_pred, score. Texts that are null or hold no letter are ``und`` with
     score 0, and so is every text where nothing can be learnt. Letters outside the vocabulary
     weigh the same in all languages. Of equally likely languages the first in code point order is taken. Repeated rows are scored
-    each; copies of a training row count once in the sample.
+    each and whole, whatever their length; copies of a training row count once in the sample. An
+    empty table gives no rows.
     """
     source = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     model = fit(source.filter(~held_out(F.col("doc_id"))), path)

@@ -147,7 +147,9 @@ def mix(docs: DataFrame, labels: DataFrame, **rules) -> DataFrame:
     ``docs``: doc_id, text, source; ``labels``: doc_id, quality. One output row per input row:
     doc_id, size, source_size, target, taken. A null source is a source, null and empty texts
     have size 0 and give nothing, a source without words has target 0. Rows that repeat a doc_id
-    share one draw; where the target ends in them, each gives the same part, rounded down.
+    share one draw; where the target ends in them, each gives the same part, rounded down. Equal
+    draws come in the order of the ids, a text of any length counts whole, an empty table gives no
+    rows, further columns are ignored.
     """
     sized = _sized(docs, labels)
     done = _decided(sized, _plan(sized, **rules))

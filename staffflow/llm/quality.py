@@ -149,7 +149,9 @@ def judge(docs: DataFrame) -> DataFrame:
 
     ``docs``: doc_id, text, lang, source. Null languages and sources are groups of their own. A
     null or empty text has no words and fails the base rule. Kept are documents that pass the
-    base rule (SHORT words at least, REPEAT_PERCENT per cent repeated at most) and all rules.
+    base rule (SHORT words at least, REPEAT_PERCENT per cent repeated at most) and all rules; a
+    value at a fence is within it. A text of any length is counted whole, rows that repeat are
+    judged each, an empty table gives no rows, further columns are ignored.
     """
     measured = stored(metrics(docs.select("doc_id", "text", "lang", "source")))
     fences = stored(thresholds(measured)).withColumnsRenamed({"lang": "fence_lang", "source": "fence_source"})

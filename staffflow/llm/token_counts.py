@@ -73,7 +73,9 @@ class ChunkCounts(dict):
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row of ``docs`` (doc_id, text); a null text is empty.
 
-    ``path`` is the vocabulary file of a word BPE whose words end with a mark.
+    ``path`` is the vocabulary file of a word BPE whose words end with a mark. A text of any length
+    is counted whole, rows that repeat are counted each, an empty table gives no rows, further
+    columns are ignored.
     """
     whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(load(path)))
     kind = docs.schema["doc_id"].dataType.simpleString()

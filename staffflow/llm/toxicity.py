@@ -198,7 +198,12 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, all of their columns."""
+    """The rows of ``docs`` that are not predicted toxic, all of their columns.
+
+    Null and empty texts score the intercept, a text of any length is scored whole, a score of CUT
+    is toxic. Rows that repeat go or stay together, an empty table gives no rows. Without labels of
+    both kinds the score is their share, 0.5 without any.
+    """
     held_out = id_remainder(F.col("doc_id"), 3) == 1
     model = fit(training_rows(docs.select("doc_id", "text"), labels.filter(~held_out)))
     held = sent(docs.sparkSession, model)

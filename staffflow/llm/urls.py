@@ -90,7 +90,9 @@ def filter_urls(pages: DataFrame, vocabulary: Vocabulary = Vocabulary(), rules=R
     """Verdict on every url: page_id, host, path, rule, verdict, n_strict, n_soft; one row per input row.
 
     A null url, or one without ``://``, has an empty host and path, so no rule fits it; its
-    verdict is the vocabulary's, over whatever text there is.
+    verdict is the vocabulary's, over whatever text there is. A url of any length is read whole, of
+    rules of one length the first listed counts. Rows that repeat are judged each, an empty table
+    gives no rows, further columns are ignored.
     """
     hits = term_hits(pages, vocabulary)
     host, path = host_and_path(F.col("url"))
