@@ -2,8 +2,8 @@
 
 A running total or an exact percentile over a whole table is computed in two
 levels: equal values collapse first (map-side), the distinct values are cut into
-value buckets whose edges come from a quantile sketch, each bucket is summed on
-its own, and the few bucket totals give the offsets.
+value buckets of bounded size, each bucket is summed on its own, and the bucket
+totals give the offsets.
 """
 
 from __future__ import annotations
@@ -12,18 +12,59 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+from staffflow.session import cut_lineage
 
+#: Distinct values of a bucket, and buckets at most: beyond them buckets grow.
+BUCKET_ROWS, BUCKETS = 100_000, 10_000
 
-def value_buckets(df: DataFrame, value: str, cells: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Add ``_bucket`` to ``cells``: sketch edges of ``df[value]``, at most ``buckets`` doubles on the driver."""
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = sorted(set(df.select(value).approxQuantile(value, probs, 0.002)))
+
+def bucket_edges(cells: DataFrame, value: str, rows: int = BUCKET_ROWS, most: int = BUCKETS) -> list[float]:
+    """Ascending values that cut ``cells`` into pieces of about ``rows`` rows, or of one value.
+
+    Refinement by place value: the range of a piece with too many rows is divided evenly, one
+    aggregate counts the rows of all parts of all such pieces, and only parts that still have too
+    many are divided again. A part's range shrinks to the values it holds, so any distribution is
+    cut after a few rounds. Dividing keeps the order of doubles, so the cut is exact. What reaches
+    the driver is a few numbers a piece, ``most`` pieces and their parts.
+    """
+    cells = cells.filter(F.abs(value) < float("inf"))  # infinite values go with the outermost pieces
+    whole = cells.agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+    bound = max(rows, -(-whole["n"] // most))
+    edges: list[float] = []
+    open_ = [tuple(whole)] if whole["n"] > bound and whole["lo"] < whole["hi"] else []
+    while open_:
+        open_.sort(key=lambda piece: piece[1])
+        table = [
+            F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), F.lit(min(256, max(2, 2 * n // bound))).alias("parts"))
+            for n, lo, hi in open_
+        ]
+        # pieces do not overlap: the last one that starts at or below a value is the only one that can hold it
+        number = _bucket_of(cells, value, [lo for _, lo, _ in open_], "_piece")
+        piece = F.get(F.array(*table), F.col("_piece") - 1)
+        placed = number.filter(F.col("_piece") > 0).withColumn("_p", piece).filter(F.col(value) <= F.col("_p.hi"))
+        part = F.floor((F.col(value) / 2 - F.col("_p.lo") / 2) / (F.col("_p.hi") / 2 - F.col("_p.lo") / 2) * F.col("_p.parts"))
+        part = F.least(part, F.col("_p.parts") - 1)
+        counted = placed.groupBy("_piece", part.alias("_part")).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
+        found = counted.select("n", "lo", "hi").collect()
+        edges += [r["lo"] for r in found]
+        before = set(open_)
+        # a piece of neighbouring doubles that did not get smaller stays as it is
+        open_ = [p for p in map(tuple, found) if p[0] > bound and p[1] < p[2] and p not in before]
+    return sorted(set(edges) - {whole["lo"]})
+
+
+def _bucket_of(df: DataFrame, value: str, edges: list[float], name: str) -> DataFrame:
+    """Add the number of edges at or below the value."""
     if not edges:
-        return cells.withColumn("_bucket", F.lit(0))
+        return df.withColumn(name, F.lit(0))
     splits = [float("-inf"), *edges, float("inf")]
-    marked = Bucketizer(splits=splits, inputCol=value, outputCol="_bucket").transform(cells)
-    return marked.withColumn("_bucket", F.col("_bucket").cast("int"))
+    marked = Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(df)
+    return marked.withColumn(name, F.col(name).cast("int"))
+
+
+def value_buckets(cells: DataFrame, value: str, rows: int = BUCKET_ROWS) -> DataFrame:
+    """Add ``_bucket``, ascending with the value, of about ``rows`` rows each."""
+    return _bucket_of(cells, value, bucket_edges(cells, value, rows), "_bucket")
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -33,9 +74,7 @@ def join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame
     return left.join(right, keys)
 
 
-def cumulative(
-    df: DataFrame, by: list[str], value: str, sums: dict[str, Column], buckets: int = BUCKETS
-) -> DataFrame:
+def cumulative(df: DataFrame, by: list[str], value: str, sums: dict[str, Column], rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per (by, value): each sum, its inclusive running total ``cum_*`` in
     ascending value order and its group total ``all_*``.
 
@@ -43,8 +82,9 @@ def cumulative(
     """
     clean = df.withColumn(value, F.col(value).cast("double")).filter(F.col(value).isNotNull())
     cells = clean.groupBy(*by, value).agg(*[expr.alias(name) for name, expr in sums.items()])
-    cells = value_buckets(clean, value, cells, buckets)
-    # at most ``buckets`` rows per group
+    # the distinct values are looked at several times
+    cells = value_buckets(cut_lineage(cells), value, rows)
+    # at most one row per bucket and group
     per_bucket = cells.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(n) for n in sums])
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     group = Window.partitionBy(*by)

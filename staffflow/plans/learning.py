@@ -26,6 +26,7 @@ from staffflow.plans.registry import query
 from staffflow.session import cut_lineage, new_path
 from staffflow.sources import files
 from staffflow.sources.tables import FULL_SHARE, now_sql, on_panel
+from staffflow.streaming.uploads import UPLOADED
 
 _SETS: dict[tuple[str, str], ops.TrainingSet] = {}
 _MODELS: dict[tuple[str, str, str], object] = {}
@@ -258,7 +259,8 @@ def score_rows(pipeline, rows, years: tuple[int, int] | None = None):
         rows = filter_year_range(rows, *years)
     scored = pipeline.transform(training_inputs(label_turnover(rows)))
     percent = (ops.probability("logistic_regression") * 100).alias("churn_probability")
-    return scored.select(*KEY, "name", "position", F.col("age"), "status", "turnover", percent)
+    kept = [c for c in (UPLOADED,) if c in rows.columns]
+    return scored.select(*KEY, "name", "position", F.col("age"), "status", "turnover", percent, *kept)
 
 
 def write_upload(spark, sf_dir, path: str) -> None:

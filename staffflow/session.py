@@ -88,6 +88,15 @@ def written(df: DataFrame) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Folders directly below ``path``, in ascending order; none where it does not exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    return sorted(str(x.getPath()) for x in files.listStatus(place) if x.isDirectory())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table that ``written`` made and nothing reads any more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -76,3 +76,54 @@ def test_comparison_counts_models(spark):
         (5.0, 7.0, None, 2, True),
         (None, 1.0, None, 1, False),
     ]
+
+
+def _runs(spark, out):
+    from staffflow.session import subfolders
+
+    return [run for level in subfolders(spark, out) for run in subfolders(spark, level)]
+
+
+def test_runs_are_merged_and_the_newest_wins(spark):
+    """Batches in any order, some repeated: few runs are left and each key has its newest row."""
+    import random
+
+    from staffflow.session import new_path
+    from staffflow.streaming.uploads import KEYS, UPLOADED, store_run, stored_newest
+
+    rnd, out, want = random.Random(3), new_path(spark, "runs"), {}
+    schema = f"employee_id long, year int, month int, {UPLOADED} long, score double"
+    batches = []
+    for number in range(20):
+        rows = [(rnd.randrange(12), 2000, rnd.randrange(1, 4), rnd.randrange(1000), rnd.random()) for _ in range(30)]
+        batches.append((number, rows))
+        for e, y, m, t, s in rows:
+            want[e, y, m] = max(want.get((e, y, m), (-1, 0.0)), (t, s))
+    order = batches + rnd.sample(batches, 3)  # three batches come once more
+    for number, rows in order:
+        store_run(spark.createDataFrame(rows, schema), out, number, KEYS, fan_in=4)
+        assert all(sum(f"level={k}/" in r for r in _runs(spark, out)) < 4 for k in range(5))
+    got = {(r["employee_id"], r["year"], r["month"]): (r[UPLOADED], r["score"]) for r in stored_newest(spark, out, KEYS).collect()}
+    assert got == want
+
+
+def test_keyed_state_expires_and_ignores_replays(spark):
+    """An older delivery after a newer one changes nothing; months beyond the limit leave the state."""
+    from staffflow.session import new_path
+    from staffflow.streaming.uploads import KEYS, UPLOADED, stored_newest, stream_newest
+
+    folder, out, state = (new_path(spark, n) for n in ("deliveries", "newest", "state"))
+    schema = f"employee_id long, year int, month int, {UPLOADED} long, score double"
+    steps = [
+        [(1, 2020, 1, 5, 0.5), (2, 2020, 1, 5, 0.5)],
+        [(1, 2020, 1, 3, 0.3)],  # out of order
+        [(1, 2024, 1, 6, 0.6)],  # moves the limit on
+        [(2, 2020, 1, 9, 0.9)],  # too late: its month has expired
+        [(1, 2024, 1, 6, 0.6), (1, 2023, 12, 7, 0.7)],  # a replay and a row within the limit
+    ]
+    for k, rows in enumerate(steps):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/delivery={k}")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/*")
+        stream_newest(stream, out, state, keep="365 days", fan_in=3)
+    got = {(r["employee_id"], r["year"], r["month"]): r["score"] for r in stored_newest(spark, out, KEYS).collect()}
+    assert got == {(1, 2020, 1): 0.5, (2, 2020, 1): 0.5, (1, 2024, 1): 0.6, (1, 2023, 12): 0.7}

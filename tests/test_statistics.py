@@ -31,7 +31,7 @@ def test_running_totals_match_a_plain_sort(spark):
     rnd = random.Random(2)
     rows = [(rnd.choice("xyz"), float(rnd.randint(0, 200))) for _ in range(5000)]
     df = spark.createDataFrame(rows, "g string, v double")
-    out = ordered.cumulative(df, ["g"], "v", {"n": F.count(F.lit(1))}, buckets=7).collect()
+    out = ordered.cumulative(df, ["g"], "v", {"n": F.count(F.lit(1))}, rows=7).collect()
     for r in out:
         assert r["cum_n"] == sum(1 for g, v in rows if g == r["g"] and v <= r["v"])
         assert r["all_n"] == sum(1 for g, _ in rows if g == r["g"])
@@ -179,3 +179,39 @@ def test_kmeans_orders_clusters_and_covers_every_row(spark):
     out, centres = clustering.kmeans_segments(spark.createDataFrame(rows, "a double, b double"), ["a", "b"])
     assert centres == sorted(centres) and out.count() == 150
     assert math.isclose(sum(r["n_rows"] for r in clustering.cluster_profile(out, ["a", "b"]).collect()), 150)
+
+
+@pytest.mark.parametrize("shape", ["crowded", "normal", "doubling", "infinite"])
+def test_buckets_stay_small_whatever_the_values(spark, shape):
+    """Exact running totals, and no bucket of more than the wanted rows, also where nearly all values lie close together."""
+    rng = np.random.default_rng(21)
+    values = {
+        "crowded": np.concatenate([rng.random(60) * 1e9, 5e8 + rng.random(5_940) * 1e-6 * 5e8]),
+        "normal": rng.normal(0, 1, 6_000),
+        "doubling": 2.0 ** rng.integers(-900, 900, 6_000) * rng.choice([-1, 1], 6_000),
+        "infinite": np.concatenate([[-np.inf, np.inf], rng.normal(0, 1, 500)]),
+    }[shape]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    cells = df.distinct()
+    bucketed = ordered.value_buckets(cells, "v", rows=300)
+    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("_bucket").collect()
+    if shape != "infinite":
+        assert max(r["n"] for r in sizes) <= 300 and len(sizes) >= cells.count() / 300
+    assert all(a["hi"] < b["lo"] for a, b in zip(sizes, sizes[1:]))
+    got = {r["v"]: r["cum_n"] for r in ordered.cumulative(df.withColumn("g", F.lit(1)), ["g"], "v", {"n": F.count(F.lit(1))}, rows=300).collect()}
+    ranks = np.sort(values)
+    assert all(got[v] == np.searchsorted(ranks, v, "right") for v in np.unique(values))
+
+
+def test_kmeans_finds_the_means_of_separate_groups(spark):
+    """Centres are the means of their members and every row is with its nearest one, both recomputed plainly."""
+    rng = np.random.default_rng(31)
+    groups = [rng.normal(c, 0.3, (80, 2)) for c in ([0, 0], [6, 1], [3, 9])]
+    x = np.concatenate(groups)
+    out, centres = clustering.kmeans_segments(spark.createDataFrame(x.tolist(), "a double, b double"), ["a", "b"])
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    want = sorted(z[80 * k : 80 * (k + 1)].mean(axis=0).tolist() for k in range(3))
+    assert np.allclose(centres, want, atol=1e-6)
+    for r in out.collect():
+        row = (np.array([r["a"], r["b"]]) - x.mean(axis=0)) / x.std(axis=0)
+        assert r["cluster"] == int(((np.array(want) - row) ** 2).sum(axis=1).argmin())
