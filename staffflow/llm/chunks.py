@@ -103,8 +103,8 @@ class ChunkEncoder:
     when the newer one is full, the older one goes, so frequent chunks stay.
     """
 
-    #: Chunks of a generation: about 100 MB.
-    LIMIT = 500_000
+    #: Chunks of a generation: about 50 MB.
+    LIMIT = 250_000
 
     def __init__(self, tokenizer):
         self.tokenizer, self.merge, self.opens = tokenizer, tokenizer.model.tokenize, opening_tokens(tokenizer)

@@ -28,6 +28,8 @@ SMOOTHING, ERRORS = 0.5, 2.5
 LEAST_DOCUMENTS = 4
 RIDGE = 1e-3
 CUT = 0.7
+#: Words a task keeps the n-grams of: about 60 MB.
+KNOWN = 200_000
 
 _FOLD = str.maketrans(UPPER, LOWER)
 
@@ -178,7 +180,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         judge, known = held(), {}
         for batch in batches:
             found = judge.score(texts_of(batch), known)
-            if len(known) > 500_000:
+            if len(known) > KNOWN:
                 known.clear()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())], ["doc_id", "score"])
 
@@ -212,7 +214,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         judge, known = held(), {}
         for batch in batches:
             found = np.array(judge.score(texts_of(batch), known))
-            if len(known) > 500_000:
+            if len(known) > KNOWN:
                 known.clear()
             yield batch.filter(pa.array(found < CUT))
 
