@@ -40,6 +40,8 @@ AGREE, SURE = 71, 2 * BINS
 SMALL = 32
 #: Members, and shingles, of a block of a bucket that is compared inside one task.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 4_096, 300_000
+#: Sets of a block that are compared shingle by shingle: two blocks give a table of 64 MB.
+BLOCK_SETS = 2_048
 FILTER_BITS = 1 << 26
 
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -334,7 +336,9 @@ def _residual(docs: DataFrame, buckets: DataFrame, classes: DataFrame, sets: Dat
     extra = _sets_of(docs, stored(lacking))
     with_sets = flagged.join(stored(sets.unionByName(extra)), "class")
     columns = ["class", "component", "n", "shingles"]
-    return _by_blocks(with_sets, F.sum("n"), BLOCK_SHINGLES, columns, _spanning_links, "a binary, b binary").distinct()
+    # small sets weigh as many shingles as keep a block's members, and so its table of intersections, bounded
+    weight = F.greatest(F.sum("n"), F.count(F.lit(1)) * (BLOCK_SHINGLES // BLOCK_SETS))
+    return _by_blocks(with_sets, weight, BLOCK_SHINGLES, columns, _spanning_links, "a binary, b binary").distinct()
 
 
 def _of_mixed(member: DataFrame) -> DataFrame:
@@ -425,9 +429,6 @@ def _spanning_links(rows: pa.Table) -> pa.RecordBatch:
         dense = np.zeros((len(keys), width), np.float32)
         dense[owner[part], column[part] - first] = 1
         inter += dense[outside] @ dense.T
-    shared = inter.astype(np.int64)
-    linked = 100 * shared >= PERCENT * (sizes[outside][:, None] + sizes - shared)
-    linked &= number[outside][:, None] != number
     root = list(range(int(number.max()) + 1))
 
     def find(x: int) -> int:
@@ -436,9 +437,14 @@ def _spanning_links(rows: pa.Table) -> pa.RecordBatch:
         return x
 
     left, right = [], []
-    for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
-        a, b = find(int(number[outside[i]])), find(int(number[j]))
-        if a != b:
-            root[a] = b
-            left.append(keys[outside[i]]), right.append(keys[j])
+    for first in range(0, len(outside), 256):
+        some = outside[first : first + 256]
+        # 100 * shared >= PERCENT * union, with the union as the sum of the sizes less the shared ones
+        least = -(-PERCENT * (sizes[some][:, None] + sizes) // (100 + PERCENT))
+        linked = (inter[first : first + 256] >= least) & (number[some][:, None] != number)
+        for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+            a, b = find(int(number[some[i]])), find(int(number[j]))
+            if a != b:
+                root[a] = b
+                left.append(keys[some[i]]), right.append(keys[j])
     return pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
