@@ -88,6 +88,17 @@ def test_kde_integrates_to_one(spark):
     assert len(out) == 200 and sum(r["density"] for r in out) * step == pytest.approx(1.0, abs=0.01)
 
 
+def test_kde_takes_every_distinct_value(spark):
+    # far outliers: cells laid over the whole range would blur the narrow middle
+    values = [i / 1000 for i in range(900)] + [-300.0, 500.0]
+    out = distributions.kde_grid(spark.createDataFrame([(v,) for v in values], "v double"), "v").collect()
+    v, n = np.array(values), len(values)
+    bw = v.std(ddof=1) * n**-0.2
+    for r in out:
+        exact = np.exp(-0.5 * ((r["x"] - v) / bw) ** 2).sum() / (n * bw * np.sqrt(2 * np.pi))
+        assert r["density"] == pytest.approx(exact, rel=1e-9, abs=1e-15)
+
+
 def test_correlation_needs_two_columns_and_gives_null_for_constants(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0)], "a double, b double")
     assert all(r["correlation"] is None for r in distributions.correlation_long(df).collect())
