@@ -33,6 +33,37 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, cell_rows, block_rows)
         assert np.allclose([got[i][k] for k in range(1, 6)], np.sort(gap[i])[:5])
 
 
+def test_neighbours_of_equal_distance_are_the_smaller_keys(spark):
+    # corners of a cube: every row has three neighbours at distance 1, three at the root of 2
+    x = [[float(i >> b & 1) for b in range(3)] for i in range(8)]
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x)], "key long, vector array<double>, copies long")
+    for cells in (1000, 3):
+        near = {}
+        for r in nearest_neighbours(df, 5, cells).collect():
+            near.setdefault(r["key"], []).append((r["rank"], r["neighbour"]))
+            assert list(r["neighbour_vector"]) == x[r["neighbour"]]
+        for i in range(8):
+            order = sorted((j for j in range(8) if j != i), key=lambda j: ((i ^ j).bit_count(), j))
+            assert [j for _, j in sorted(near[i])] == order[:5]
+
+
+def test_a_visit_holds_little_beside_its_rows():
+    import tracemalloc
+
+    from staffflow.functions.neighbours import _Best
+
+    rng = np.random.default_rng(7)
+    x, refs = rng.normal(0, 1, (1_500, 40)), rng.normal(0, 1, (16_000, 40))
+    best = _Best(np.arange(1_500), x, 5, np.zeros(40))
+    tracemalloc.start()
+    best.visit(np.arange(10_000, 26_000), refs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6  # a distance matrix of 1,024 rows in double precision and its ranks took four times that
+    gap = np.sort(((x[:50, None, :] - refs[None, :, :]) ** 2).sum(axis=2), axis=1)
+    assert np.allclose(best.distance[:50] ** 2, gap[:, :5])
+
+
 def test_balancing_counts_segments_and_copies(spark):
     rng = np.random.default_rng(6)
     rows = [(i, 0, rng.normal(0, 1, 3).tolist()) for i in range(500)]
