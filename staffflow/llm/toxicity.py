@@ -28,8 +28,8 @@ SMOOTHING, ERRORS = 0.5, 2.5
 LEAST_DOCUMENTS = 4
 RIDGE = 1e-3
 CUT = 0.7
-#: Words a task keeps the n-grams of: about 60 MB.
-KNOWN = 200_000
+#: Words a task keeps the n-grams of: about 30 MB.
+KNOWN = 100_000
 
 _FOLD = str.maketrans(UPPER, LOWER)
 

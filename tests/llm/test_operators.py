@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -560,3 +561,19 @@ def test_common_length_is_that_of_the_longest_common_subsequence():
             for j, y in enumerate(b):
                 table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
         assert decontamination.common_length(a, b) == table[-1][-1]
+
+
+def test_freed_memory_goes_back_to_the_system():
+    from staffflow.llm.common import give_back
+
+    def resident() -> int:
+        return int(next(x for x in open("/proc/self/status") if x.startswith("VmRSS")).split()[1]) >> 10
+
+    give_back()
+    first = resident()
+    held = [b"x" * 100_000 for _ in range(3_000)]
+    kept = held[::50]  # spread over the heap, so that the rest does not go back by itself
+    full = resident()
+    del held
+    give_back()
+    assert len(kept) == 60 and full > first + 200 and resident() < first + 100
