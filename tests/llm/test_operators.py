@@ -9,7 +9,6 @@ import re
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
