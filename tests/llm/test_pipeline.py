@@ -85,3 +85,16 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
             assert out.columns == docs.columns
             docs = spark.createDataFrame(out.collect(), SCHEMA)
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == docs.count()
+
+
+def test_stages_send_small_batches_to_python(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, after in (("10000", "1024"), ("0", "1024"), ("100", "100")):
+            spark.conf.set(name, given)
+            stage = corpus_pipeline.leaves_nothing(lambda _spark, docs, _dir: docs)
+            stage(spark, spark.range(3).selectExpr("id AS doc_id"), "")
+            assert spark.conf.get(name) == after
+    finally:
+        spark.conf.set(name, before)
