@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from itertools import chain
 
 import numpy as np
@@ -35,6 +36,9 @@ BYTE_CHARACTERS = _byte_characters()
 
 
 BLANK_MARK = BYTE_CHARACTERS[32]
+_LINE_END = BYTE_CHARACTERS[10]
+#: A blank stays, as the mark of a part without one.
+_SPELLING = {b: c for b, c in BYTE_CHARACTERS.items() if b != 32}
 
 
 def opening_tokens(tokenizer) -> np.ndarray:
@@ -72,19 +76,29 @@ def _end_to_end(lists) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Generation:
-    """Chunks and their ids end to end."""
+    """Distinct chunks and their ids end to end."""
 
     def __init__(self):
-        self.place: dict[str, int] = {}
+        self.chunks = pa.array([], pa.string())
         self.flat = np.empty(0, np.uint32)
-        self.starts = self.sizes = np.empty(0, np.int64)
+        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def add(self, chunks: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Chunks that are not there yet; returns their places."""
+        first = len(self.chunks)
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.flat = np.concatenate([self.flat, ids])
-        first = len(self.place)
-        self.place.update(zip(chunks, range(first, first + len(chunks)), strict=True))
+        self.chunks = pa.concat_arrays([self.chunks, chunks])
+        return np.arange(first, len(self.chunks))
+
+    def places(self, chunks: pa.Array) -> np.ndarray:
+        """Place of each of the distinct chunks, -1 where it is not there."""
+        # the table is made of the few looked for
+        found = pc.fill_null(pc.index_in(self.chunks, value_set=chunks), -1).to_numpy()
+        out, there = np.full(len(chunks), -1, np.int64), np.flatnonzero(found >= 0)
+        out[found[there]] = there
+        return out
 
     def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the chunks at these places end to end, and how many each has."""
@@ -93,61 +107,85 @@ class _Generation:
         return self.flat[inner], sizes
 
 
+# letters up to U+024F, and marks that are no letters, digits, apostrophes or part of a special token's string
+_WORD, _MARKS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+", "[.,!?;:#$%&*]+"
+#: Chunks that the tokenizer cuts into words, runs of marks and line ends, and these parts.
+_SIMPLE = f"{_WORD}(?:{_MARKS})?(?:\n{_WORD}(?:{_MARKS})?)*"
+_PARTS = re.compile(f"{_WORD}|{_MARKS}|\n")
+
+
 class ChunkEncoder:
     """Ids of whole texts of a byte-level BPE whose words may start with one blank.
 
     Such a tokenizer cuts a text before each blank that follows a non-blank, whatever stands
     around, so the parts can be encoded alone and looked up. A text in which a blank follows
     other white space is encoded whole, since runs of white space are cut differently. The
-    library does every merge, of new chunks many at a time. Chunks are kept in two generations:
-    when the newer one is full, the older one goes, so frequent chunks stay.
+    library does every merge; a word with marks or a line end behind it is put together from its
+    parts, which are merged once. Chunks are kept in two generations: when the newer one is full,
+    the older one goes, so frequent chunks stay.
     """
 
-    #: Chunks of a generation: about 50 MB.
-    LIMIT = 250_000
+    #: Chunks of a generation, and bytes of their text.
+    LIMIT, BYTES = 500_000, 16 << 20
 
     def __init__(self, tokenizer):
         self.tokenizer, self.merge, self.opens = tokenizer, tokenizer.model.tokenize, opening_tokens(tokenizer)
-        self.marks = {m: tokenizer.token_to_id(m) for m in ".,"}
         self.new, self.old = _Generation(), _Generation()
 
-    def _places(self, chunks: list[str]) -> np.ndarray:
+    def _places(self, chunks: pa.Array) -> np.ndarray:
         """Places of distinct chunks in the newer generation; what is not there yet is learnt."""
-        if len(self.new.place) + len(chunks) > self.LIMIT:
+        if len(self.new.chunks) + len(chunks) > self.LIMIT or self.new.chunks.nbytes + chunks.nbytes > self.BYTES:
             self.old, self.new = self.new, _Generation()
-        get, old = self.new.place.get, self.old.place.get
-        at = np.fromiter([get(c, -1) for c in chunks], np.int64, len(chunks))
+        at = self._known(chunks)
         lacking = np.flatnonzero(at < 0)
         if len(lacking):
-            missing = [chunks[k] for k in lacking.tolist()]
-            before = np.fromiter([old(c, -1) for c in missing], np.int64, len(missing))
-            again = np.flatnonzero(before >= 0)
-            self.new.add([missing[k] for k in again.tolist()], *self.old.ids(before[again]))
-            self._learn({missing[k] for k in np.flatnonzero(before < 0).tolist()})
-            place = self.new.place
-            at[lacking] = [place[c] for c in missing]
+            at[lacking] = self._learn(chunks.take(pa.array(lacking)))
         return at
 
-    def _learn(self, fresh: set[str]) -> None:
-        # words of ASCII letters, and those with a mark behind them, go straight to the model
-        merge, mark_of = self.merge, self.marks.get
-        plain = [c for c in fresh if c.isascii() and c.isalpha()]
-        self.new.add(plain, *_end_to_end([[t.id for t in merge(BLANK_MARK + c)] for c in plain]))
-        fresh.difference_update(plain)
-        marked = [c for c in fresh if c[-1:] in self.marks and c.isascii() and c[:-1].isalpha()]
-        self.new.add(marked, *_end_to_end([[*(t.id for t in merge(BLANK_MARK + c[:-1])), mark_of(c[-1])] for c in marked]))
-        fresh.difference_update(marked)
-        # other Latin letters as the characters that stand for their bytes
-        latin = [c for c in fresh if c.isalpha() and max(c) < "\u0250"]
-        spelt = [c.encode().decode("latin-1").translate(BYTE_CHARACTERS) for c in latin]
-        self.new.add(latin, *_end_to_end([[t.id for t in merge(BLANK_MARK + c)] for c in spelt]))
-        fresh.difference_update(latin)
-        alone = [c for c in fresh if stands_alone(c)]
-        for at in range(0, len(alone), 20_000):
-            some = alone[at : at + 20_000]
-            self.new.add(some, *ids_of_chunks(self.tokenizer, self.opens, some))
-        bound = list(fresh.difference(alone))  # no ids: such a chunk's text is encoded whole
-        self.new.add(bound, np.empty(0, np.uint32), np.zeros(len(bound), np.int64))
+    def _known(self, chunks: pa.Array) -> np.ndarray:
+        """Places of distinct chunks in the newer generation, which gets those of the older one; -1 for others."""
+        at = self.new.places(chunks)
+        lacking = np.flatnonzero(at < 0)
+        before = self.old.places(chunks.take(pa.array(lacking)))
+        lacking, before = lacking[before >= 0], before[before >= 0]
+        at[lacking] = self.new.add(chunks.take(pa.array(lacking)), *self.old.ids(before))
+        return at
+
+    def _learn(self, fresh: pa.Array) -> np.ndarray:
+        """Places of new chunks in the newer generation."""
+        out = np.full(len(fresh), -1, np.int64)
+        words, simple = (pc.match_substring_regex(fresh, f"^{x}$").to_numpy(zero_copy_only=False) for x in (_WORD, _SIMPLE))
+        chunks = fresh.to_numpy(zero_copy_only=False)
+        words, joined, others = (np.flatnonzero(x) for x in (words, simple & ~words, ~simple))
+        # a part without the blank before it is kept with one, which no chunk holds
+        parts = [[first, *[" " + x for x in rest]] for first, *rest in map(_PARTS.findall, chunks[joined].tolist())]
+        plain = chunks[words].tolist()
+        place = dict(zip(plain, self._merge(plain).tolist(), strict=True))
+        out[words] = list(place.values())
+        further = list(set(chain.from_iterable(parts)).difference(place))
+        at = self._known(pa.array(further, pa.string()))
+        lacking = np.flatnonzero(at < 0)
+        at[lacking] = self._merge([further[k] for k in lacking.tolist()])
+        place.update(zip(further, at.tolist(), strict=True))
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        ids, sizes = self.new.ids(np.fromiter(map(place.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum())))
+        ends = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
+        out[joined] = self.new.add(fresh.take(pa.array(joined)), ids, np.diff(ends))
+        alone = others[np.array([stands_alone(c) for c in chunks[others].tolist()], bool)]
+        for k in range(0, len(alone), 20_000):
+            some = alone[k : k + 20_000]
+            out[some] = self.new.add(fresh.take(pa.array(some)), *ids_of_chunks(self.tokenizer, self.opens, chunks[some].tolist()))
+        bound = np.flatnonzero(out < 0)  # no ids: such a chunk's text is encoded whole
+        out[bound] = self.new.add(fresh.take(pa.array(bound)), np.empty(0, np.uint32), np.zeros(len(bound), np.int64))
+        return out
+
+    def _merge(self, parts: list[str]) -> np.ndarray:
+        """Places of new words and other parts, by the model."""
+        merge = self.merge
+        # as the characters that stand for their bytes
+        spelt = [c if c.isascii() else c.encode().decode("latin-1").translate(_SPELLING) for c in parts]
+        ids = [[t.id for t in merge(_LINE_END if c == " \n" else c[1:] if c[0] == " " else BLANK_MARK + c)] for c in spelt]
+        return self.new.add(pa.array(parts, pa.string()), *_end_to_end(ids))
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids if text else [], np.uint32)
@@ -158,7 +196,7 @@ class ChunkEncoder:
         chunks, offsets = lists.flatten(), lists.offsets.to_numpy()
         offsets = offsets - offsets[0]
         coded = chunks.dictionary_encode()
-        at = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        at = self._places(coded.dictionary)[coded.indices.to_numpy()]
         # the first chunk of a text has no blank before it
         heads = chunks.take(pa.array(offsets[:-1])).to_pylist()
         at = np.delete(at, offsets[:-1])

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,11 @@ from pyspark.sql import functions as F
 
 from staffflow.llm import rans
 from staffflow.llm.chunks import process_encoder
-from staffflow.llm.common import map_batches, stored
+from staffflow.llm.common import PORTION, map_batches, portions, stored
 
 END = 0
 FILE_IDS = 4_000_000
 BLOCK_IDS = 65_536
-#: Texts encoded together.
-ROWS = 1_024
 
 _FILES = "part long, file long, first_id long, n_docs long, n_ids long, doc_ids array<{kind}>, content binary"
 _DOCUMENTS = "part long, doc_id {kind}, first_id long, n_tokens long, ids_crc32 long"
@@ -73,12 +72,25 @@ def write_ids(docs: DataFrame, path: str, end: int = END) -> DataFrame:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], encoder) -> Iterator[tuple]:
-    """(doc_id, ids) of every row; new chunks of ROWS texts are learnt together."""
-    for whole in batches:
-        for at in range(0, whole.num_rows, ROWS):
-            batch = whole.slice(at, ROWS)
-            texts = pc.fill_null(batch.column("text").cast(pa.string()), "")
-            yield from zip(batch.column("doc_id").to_pylist(), encoder.encode_all(texts), strict=True)
+    """(doc_id, ids) of every row; new chunks of PORTION bytes of text are learnt together."""
+    for held in _together(batches):
+        texts = pa.concat_arrays([pc.fill_null(part.column("text").cast(pa.string()), "") for part in held])
+        doc_ids = chain.from_iterable(part.column("doc_id").to_pylist() for part in held)
+        yield from zip(doc_ids, encoder.encode_all(texts), strict=True)
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """All rows in pieces of about PORTION bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        for part in portions(batch):
+            held.append(part)
+            size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+            if size > PORTION // 2:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 def read_ids(files: DataFrame) -> Iterator[tuple]:
