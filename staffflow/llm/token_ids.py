@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from staffflow.llm import rans
 from staffflow.llm.chunks import process_encoder
-from staffflow.llm.common import PORTION, map_batches, portions, stored
+from staffflow.llm.common import PORTION, give_back, map_batches, portions, stored
 
 END = 0
 FILE_IDS = 4_000_000
@@ -77,6 +77,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], encoder) -> Iterator[tuple]:
         texts = pa.concat_arrays([pc.fill_null(part.column("text").cast(pa.string()), "") for part in held])
         doc_ids = chain.from_iterable(part.column("doc_id").to_pylist() for part in held)
         yield from zip(doc_ids, encoder.encode_all(texts), strict=True)
+        give_back()
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
