@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +174,32 @@ def test_uploads_of_any_year_are_scored(spark, sf_dir):
     n = rows.filter("status <> 'Retired'").count()
     assert plans.score_rows(pipeline, rows).count() == n > 0
     assert plans.score_rows(pipeline, rows, years=(1990, 2030)).count() == 0
+
+
+def test_families_of_trees_are_trained_at_the_same_time(spark, monkeypatch):
+    met, order = threading.Barrier(3, timeout=30), []
+
+    def fitted(_spark, _sf_dir, name):
+        if name not in order:
+            order.append(name)
+            if name in plans.TOGETHER:
+                met.wait()
+        return name
+
+    monkeypatch.setattr(plans, "data", lambda *_: None)
+    monkeypatch.setattr(plans, "model", fitted)
+    assert plans.all_models(spark, "nowhere") == {name: name for name in plans.ops.TRAINERS}
+    # the others set the session back and forth: one after another, before
+    assert order[:2] == [name for name in plans.ops.TRAINERS if name not in plans.TOGETHER]
+
+
+def test_a_family_that_fails_beside_others_is_reported(spark, monkeypatch):
+    def fitted(_spark, _sf_dir, name):
+        if name == "gbt_leafwise":
+            raise ValueError(name)
+        return name
+
+    monkeypatch.setattr(plans, "data", lambda *_: None)
+    monkeypatch.setattr(plans, "model", fitted)
+    with pytest.raises(ValueError, match="gbt_leafwise"):
+        plans.all_models(spark, "nowhere")
